@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing
+from tessera.llm import mixing, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = quality.classify(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    out = toxicity.tag(docs, toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id")))))
+    return out.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["start"], x["end"])), ",").alias("spans"),
+    )
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -49,7 +68,9 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_quality": op3_quality,
         "op7_mix": op7_mix,
+        "op9_toxic_spans": op9_toxic_spans,
     }
 
 
