@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, quality, toxicity
+from tessera.llm import mixing, quality, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = quality.classify(docs, labels.where(~quality.held_out(F.col("doc_id"))))
@@ -68,6 +72,7 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op3_quality": op3_quality,
         "op7_mix": op7_mix,
         "op9_toxic_spans": op9_toxic_spans,

@@ -12,6 +12,24 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+
+
+def _one_blas_thread() -> None:
+    """Tasks already use all cores; a pool of BLAS threads for each Python process only makes them wait."""
+    import ctypes
+    import glob
+    import os
+
+    for lib in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            call = getattr(ctypes.CDLL(lib), name, None)
+            if call is not None:
+                call(1)
+                break
+
+
+_one_blas_thread()
+
 #: Bytes of text worked on at once. Bounds the memory of a Python worker: temporaries take
 #: about 60 times as much. A single longer text is still worked on whole.
 SLICE_BYTES = 1 << 20
