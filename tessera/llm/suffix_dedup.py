@@ -313,14 +313,14 @@ def with_row_id(docs: DataFrame) -> DataFrame:
     return docs.withColumn("rid", F.xxhash64("doc_id", "text"))
 
 
-def repeated_spans(texts: DataFrame, dealt: DataFrame) -> DataFrame:
+def repeated_spans(texts: DataFrame, dealt: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """(rid, doc_id, start, end): overlapping stretches to remove. ``dealt`` is texts (rid, doc_id, text) partitioned by rid."""
     keys = texts.select("rid", "text").mapInArrow(_anchor_rows, "key long, rid long, pos int")
     shared = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_runs, "rid long, pos int")
     at = shared.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     cut = dealt.join(at, "rid").mapInArrow(_contexts, "rid long, doc_id long, pos int, nl int, nr int, ctx binary")
     cut = cut.withColumn("lead", F.substring("ctx", LENGTH - LEAD + 1, LEAD))
-    found = stored(cut.repartitionByRange("lead").sortWithinPartitions("lead").mapInArrow(_bucket, _FOUND), "repeats")
+    found = stored(cut.repartitionByRange("lead").sortWithinPartitions("lead").mapInArrow(lambda x: _bucket(x, hot_rows, chunk), _FOUND), "repeats")
     plain = found.where("d1 is null").select("rid", "doc_id", "start", "end")
     hot = found.where("d1 is not null")
     twice = hot.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2")
@@ -358,16 +358,16 @@ def _digest_rows(batches):
         yield pa.RecordBatch.from_arrays([col["doc_id"], pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _spans(docs: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     texts = with_row_id(docs.select("doc_id", "text")).select("rid", "doc_id", "text")
     dealt = texts.repartition("rid")
-    spans = repeated_spans(texts, dealt)
+    spans = repeated_spans(texts, dealt, hot_rows, chunk)
     return dealt, spans.groupBy("rid").agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("spans"))
 
 
-def removed_digest(docs: DataFrame) -> DataFrame:
+def removed_digest(docs: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of (doc_id, text)."""
-    dealt, spans = _spans(docs)
+    dealt, spans = _spans(docs, hot_rows, chunk)
     return dealt.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(_digest_rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
