@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import jaccard_join, mixing, quality, suffix_dedup, toxicity
+from tessera.llm import decontaminate, jaccard_join, mixing, quality, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = quality.classify(docs, labels.where(~quality.held_out(F.col("doc_id"))))
@@ -77,6 +81,7 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_decontaminate": op2_decontaminate,
         "op3_quality": op3_quality,
         "op5_jaccard_join": op5_jaccard_join,
         "op7_mix": op7_mix,
