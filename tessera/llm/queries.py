@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, jaccard_join, mixing, quality, suffix_dedup, toxicity
+from tessera.llm import decontaminate, jaccard_join, mixing, quality, suffix_dedup, token_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.document_token_counts(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = """
 WITH sized AS (
   SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_jaccard_join": op5_jaccard_join,
         "op7_mix": op7_mix,
         "op9_toxic_spans": op9_toxic_spans,
+        "op10_token_counts": op10_token_counts,
     }
 
 
