@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, jaccard_join, mixing, quality, suffix_dedup, token_scan, toxicity
+from tessera.llm import chat_tree, decontaminate, jaccard_join, mixing, quality, suffix_dedup, token_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,33 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+#: Conversation -7: turns that look like the template's own control strings and escapes.
+HARD_TURN = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = [(-7, 0, "user", HARD_TURN), (-7, 1, "assistant", HARD_TURN)]
+    more = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(c).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text")) for c, t, r, x in hard])))
+    return chat_tree.read_back(chat_tree.conversations(chat_tree.pack_conversations(turns.unionByName(more))))
+
+
+OP8_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+esc AS (
+  SELECT *, length(replace(replace(replace(text, '\\', '\\\\'), '### ', '\\### '), '</turn>', '\\</turn>')) AS n_text,
+    length(replace(replace(replace(replace(role, '\\', '\\\\'), '### ', '\\### '), '</turn>', '\\</turn>'), ':', '\\:')) AS n_role FROM rows)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  CAST(sum(4 + n_role + 2 + n_text + 7 + 1) AS BIGINT) AS formatted_chars
+FROM esc GROUP BY conv_id
+"""
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.document_token_counts(table(spark, sf_dir, "documents"))
 
@@ -89,10 +116,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op5_jaccard_join": op5_jaccard_join,
         "op7_mix": op7_mix,
+        "op8_chat_format": op8_chat_format,
         "op9_toxic_spans": op9_toxic_spans,
         "op10_token_counts": op10_token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix": OP7_SQL}
+    return {"op7_mix": OP7_SQL, "op8_chat_format": OP8_SQL}
