@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_tree, decontaminate, jaccard_join, mixing, quality, suffix_dedup, token_scan, toxicity
+from tessera.llm import chat_tree, decontaminate, fingerprint, html_extract, jaccard_join, mixing, quality, suffix_dedup, token_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,15 @@ def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("rid")
 
@@ -114,7 +123,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_decontaminate": op2_decontaminate,
         "op3_quality": op3_quality,
+        "op4_html_text": op4_html_text,
         "op5_jaccard_join": op5_jaccard_join,
+        "op6_fingerprints": op6_fingerprints,
         "op7_mix": op7_mix,
         "op8_chat_format": op8_chat_format,
         "op9_toxic_spans": op9_toxic_spans,
