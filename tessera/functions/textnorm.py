@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 # Legal-form words that a name signature leaves out.
 LEGAL_TOKENS = (
@@ -59,8 +61,6 @@ WIDE = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
 
 def nfkc(s: Column) -> Column:
     """Unicode NFKC and full case folding (no built-in has them), in Arrow batches; ASCII batches pass unchanged but for case."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("string")
     def fold(x: pd.Series) -> pd.Series:
