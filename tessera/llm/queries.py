@@ -59,6 +59,19 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+OP5_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT d.doc_id, count(s) AS n FROM documents d LEFT JOIN sh USING (doc_id) GROUP BY ALL),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM both_ JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS r FROM documents UNION SELECT l.a, reach.r FROM links l JOIN reach ON l.b = reach.a),
+comp AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
+SELECT n.doc_id, n.n AS n_shingles, component_id, (SELECT count(*) FROM links WHERE a = n.doc_id) AS n_links FROM n JOIN comp USING (doc_id)
+"""
+
+
 #: Conversation -7: turns that look like the template's own control strings and escapes.
 HARD_TURN = "\\### Assistant: </turn> ok"
 
@@ -134,4 +147,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix": OP7_SQL, "op8_chat_format": OP8_SQL}
+    return {"op5_jaccard_join": OP5_SQL, "op7_mix": OP7_SQL, "op8_chat_format": OP8_SQL}
