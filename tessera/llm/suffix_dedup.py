@@ -2,10 +2,11 @@
 
 The suffix array is sparse. In each string of LENGTH bytes the leftmost least hash among its runs of ``LEAD``
 bytes is an anchor; it depends on the string only, so equal strings have it at the same offset. Comparing suffixes at
-anchors (about one in 70 bytes), with the bytes before them, thus finds every repeat.
+anchors (about one in 80 bytes), with the bytes before them, thus finds every repeat.
 
 1. Each task hashes the LEAD bytes at its anchors; hashes that occur once are dropped (a sort by hash finds runs).
-2. What is left is cut from the texts: the suffix of LENGTH bytes and the LENGTH - LEAD bytes before it.
+2. What is left is cut from the texts: the suffix of LENGTH bytes and the LENGTH - LEAD bytes before it. Equal ones of a batch
+   (copies, periodic text) are marked as repeats at once and go on as one.
 3. Sampled splitters range-partition the suffixes by their leading bytes, so all with the same LEAD bytes
    share a bucket. A bucket sorts its suffixes, and the reversed left contexts, by multikey quicksort on 8-byte
    words; common prefixes of neighbours give, for each offset l, classes of equal
@@ -14,7 +15,7 @@ anchors (about one in 70 bytes), with the bytes before them, thus finds every re
    digested with its offset (128 bits), digests are counted across all buckets with partial aggregation, and
    those counted twice or more mark their members.
 
-Matches never cross documents; strings are judged on the input. A document is (doc_id, text); rows that repeat both
+Matches never cross documents; strings are judged on the input. A row is known by a 64-bit hash of (doc_id, text); rows that repeat both
 are copies of each other and lose all strings of LENGTH bytes. Null texts are empty; texts shorter than LENGTH stay whole. An
 empty table gives an empty result. Extra columns are kept by ``dedup_documents``.
 """
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from tessera.llm import textbatch as tb
 from tessera.llm.storage import stored
 
-LENGTH, LEAD = 200, 64
-HOT = 40_000
+LENGTH, LEAD = 200, 40
+HOT = 120_000
 #: Suffixes that a bucket sorts at once, at least one leading string.
 CHUNK = 16_384
 _SEGMENT = 1 << 22
@@ -113,13 +114,34 @@ def _runs(batches):
         yield held.select(["rid", "pos"])
 
 
+def _packed(batches):
+    """Texts as compressed bytes: they are shuffled, and stand on disk meanwhile."""
+    import zstandard
+
+    code = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        i = b.schema.get_field_index("text")
+        raw, off = tb.text_bytes(b.column(i))
+        data = raw.tobytes()
+        packed = pa.array([code.compress(data[x:y]) for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([packed if c == i else b.column(c) for c in range(b.num_columns)], names=b.schema.names)
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    import zstandard
+
+    code = zstandard.ZstdDecompressor()
+    texts = [code.decompress(x.as_buffer()) for x in column]
+    return np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
 def _contexts(batches):
     """Suffixes at the anchors of each text, with what stands before them; padded with zeros."""
     before = LENGTH - LEAD
     window = np.arange(-before, LENGTH)
     for b in batches:
-        raw, off = tb.text_bytes(b.column(b.schema.get_field_index("text")))
-        rid, doc = b.column(b.schema.get_field_index("rid")).to_numpy(zero_copy_only=False), b.column(b.schema.get_field_index("doc_id"))
+        raw, off = _unpacked(b.column(b.schema.get_field_index("text")))
+        rid = b.column(b.schema.get_field_index("rid")).to_numpy(zero_copy_only=False)
         lists = b.column(b.schema.get_field_index("at"))
         count = np.diff(lists.offsets.to_numpy())
         row = np.repeat(np.arange(b.num_rows), count)
@@ -129,13 +151,26 @@ def _contexts(batches):
             size = off[q + 1] - off[q]
             keep = p + LEAD <= size
             p, q, size = p[keep], q[keep], size[keep]
+            if not len(p):
+                continue
             left, right = np.minimum(p, before), np.minimum(size - p, LENGTH)
             cell = (off[q] + p)[:, None] + window
             inside = (window >= -left[:, None]) & (window < right[:, None])
             text = np.where(inside, raw[np.clip(cell, 0, max(len(raw) - 1, 0))], 0).astype(np.uint8)
-            width = len(window)
-            data = pa.Array.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(np.arange(0, (len(p) + 1) * width, width, dtype=np.int32)), pa.py_buffer(text.tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(rid[q]), doc.take(pa.array(q)), pa.array(p.astype(np.int32)), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), data], names=["rid", "doc_id", "pos", "nl", "nr", "ctx"])
+            # equal rows meet here already: all their strings are repeats, and one row stands for them from here on
+            whole = np.concatenate([text, np.stack([left, right], axis=1).astype("<u2").view(np.uint8)], axis=1)
+            _, first, same, times = np.unique(np.ascontiguousarray(whole).view(f"V{whole.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
+            many = (times[same] > 1) & (left + right >= LENGTH)
+            yield _rows(rid[q[first]], p[first], left[first], right[first], text[first])
+            if many.any():
+                yield _rows(rid[q[many]], p[many] - left[many], np.full(many.sum(), -1), p[many] + right[many], text[:0])
+
+
+def _rows(rid, pos, nl, nr, text: np.ndarray) -> pa.RecordBatch:
+    """Suffixes with their contexts; or, with nl -1 and no text, marked stretches [pos, nr)."""
+    width = text.shape[1] if len(text) else 0
+    data = pa.Array.from_buffers(pa.binary(), len(rid), [None, pa.py_buffer((np.arange(len(rid) + 1) * width).astype(np.int32)), pa.py_buffer(text.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(rid), *(pa.array(x.astype(np.int32)) for x in (pos, nl, nr)), data], names=["rid", "pos", "nl", "nr", "ctx"])
 
 
 def multikey_order(words: np.ndarray) -> np.ndarray:
@@ -212,7 +247,7 @@ def repeated(ctx: np.ndarray, nl: np.ndarray, nr: np.ndarray) -> tuple[np.ndarra
     return low, high
 
 
-_FOUND = "rid long, doc_id long, start int, end int, d1 long, d2 long"
+_FOUND = "rid long, start int, end int, d1 long, d2 long"
 
 
 def _bucket(batches, hot: int = HOT, chunk: int = CHUNK):
@@ -227,22 +262,28 @@ def _bucket(batches, hot: int = HOT, chunk: int = CHUNK):
         low, high = repeated(ctx, nl, nr)
         i = np.flatnonzero(low >= 0)
         none = pa.nulls(len(i), pa.int64())
-        return pa.RecordBatch.from_arrays([t.column("rid").combine_chunks().take(pa.array(i)), t.column("doc_id").combine_chunks().take(pa.array(i)), pa.array((pos[i] - high[i]).astype(np.int32)), pa.array((pos[i] - low[i] + LENGTH).astype(np.int32)), none, none], names=["rid", "doc_id", "start", "end", "d1", "d2"])
+        return pa.RecordBatch.from_arrays([t.column("rid").combine_chunks().take(pa.array(i)), pa.array((pos[i] - high[i]).astype(np.int32)), pa.array((pos[i] - low[i] + LENGTH).astype(np.int32)), none, none], names=["rid", "start", "end", "d1", "d2"])
 
     def digests(t: pa.Table):
-        rid, doc, pos, nl, nr, ctx = (t.column(c).to_pylist() for c in ("rid", "doc_id", "pos", "nl", "nr", "ctx"))
+        rid, pos, nl, nr, ctx = (t.column(c).to_pylist() for c in ("rid", "pos", "nl", "nr", "ctx"))
         out = []
-        for r, d, p, a, z, c in zip(rid, doc, pos, nl, nr, ctx, strict=True):
+        for r, p, a, z, c in zip(rid, pos, nl, nr, ctx, strict=True):
             for l in range(max(0, LENGTH - z), min(a, before) + 1):  # noqa: E741
                 h = hashlib.blake2b(c[before - l : before - l + LENGTH], digest_size=16, salt=l.to_bytes(2, "little")).digest()
-                out.append((r, d, p - l, p - l + LENGTH, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-        cols = list(zip(*out, strict=True)) or [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["rid", "doc_id", "start", "end", "d1", "d2"])
+                out.append((r, p - l, p - l + LENGTH, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        cols = list(zip(*out, strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["rid", "start", "end", "d1", "d2"])
 
     held: pa.Table | None = None
     flowing: bytes | None = None  # the hot leading string whose rows are digested as they come
     for b in batches:
+        done = b.column(b.schema.get_field_index("nl")).to_numpy() < 0
+        if done.any():
+            t = b.filter(pa.array(done))
+            none = pa.nulls(t.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(t.column(t.schema.get_field_index(c)) for c in ("rid", "pos", "nr")), none, none], names=["rid", "start", "end", "d1", "d2"])
+            b = b.filter(pa.array(~done))
         if not b.num_rows:
             continue
         t = pa.Table.from_batches([b])
@@ -314,17 +355,19 @@ def with_row_id(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, dealt: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> DataFrame:
-    """(rid, doc_id, start, end): overlapping stretches to remove. ``dealt`` is texts (rid, doc_id, text) partitioned by rid."""
+    """(rid, start, end): overlapping stretches to remove. ``texts`` has (rid, text), ``dealt`` the same packed and partitioned by rid."""
     keys = texts.select("rid", "text").mapInArrow(_anchor_rows, "key long, rid long, pos int")
     shared = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_runs, "rid long, pos int")
     at = shared.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("at"))
-    cut = dealt.join(at, "rid").mapInArrow(_contexts, "rid long, doc_id long, pos int, nl int, nr int, ctx binary")
-    cut = cut.withColumn("lead", F.substring("ctx", LENGTH - LEAD + 1, LEAD))
-    found = stored(cut.repartitionByRange("lead").sortWithinPartitions("lead").mapInArrow(lambda x: _bucket(x, hot_rows, chunk), _FOUND), "repeats")
-    plain = found.where("d1 is null").select("rid", "doc_id", "start", "end")
+    cut = dealt.join(at, "rid").select("rid", "text", "at").mapInArrow(_contexts, "rid long, pos int, nl int, nr int, ctx binary")
+    # marked stretches only pass through; they are spread over the buckets
+    lead = F.when(F.col("nl") >= 0, F.substring("ctx", LENGTH - LEAD + 1, LEAD)).otherwise(F.sha1(F.col("pos").cast("string")).cast("binary"))
+    buckets = cut.repartitionByRange(lead).withColumn("lead", lead).sortWithinPartitions("lead")
+    found = stored(buckets.mapInArrow(lambda x: _bucket(x, hot_rows, chunk), _FOUND), "repeats")
+    plain = found.where("d1 is null").select("rid", "start", "end")
     hot = found.where("d1 is not null")
     twice = hot.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2")
-    return plain.unionByName(hot.join(twice, ["d1", "d2"]).select("rid", "doc_id", "start", "end"))
+    return plain.unionByName(hot.join(twice, ["d1", "d2"]).select("rid", "start", "end"))
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -340,13 +383,13 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _digest_rows(batches):
     for b in batches:
         col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-        raw, off = tb.text_bytes(col["text"])
-        doc, spans = col["doc_id"].to_pylist(), col["spans"].to_pylist()
+        raw, off = _unpacked(col["text"])
+        spans = col["spans"].to_pylist()
         data = raw.tobytes()
         removed, runs, sha = [], [], []
         for i, own in enumerate(spans):
             text = data[off[i] : off[i + 1]]
-            cut = _merge([(s["start"], s["end"]) for s in own or () if s["doc_id"] == doc[i]])
+            cut = _merge([(s["start"], s["end"]) for s in own or ()])
             h, at = hashlib.sha256(), 0
             for a, z in cut:
                 h.update(text[at:a])
@@ -360,9 +403,9 @@ def _digest_rows(batches):
 
 def _spans(docs: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     texts = with_row_id(docs.select("doc_id", "text")).select("rid", "doc_id", "text")
-    dealt = texts.repartition("rid")
+    dealt = texts.mapInArrow(_packed, "rid long, doc_id long, text binary").repartition("rid")
     spans = repeated_spans(texts, dealt, hot_rows, chunk)
-    return dealt, spans.groupBy("rid").agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("spans"))
+    return dealt, spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def removed_digest(docs: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> DataFrame:
@@ -380,13 +423,13 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
 
     def each(batches):
         for b in batches:
-            i_text, i_doc = b.schema.get_field_index("text"), b.schema.get_field_index("doc_id")
+            i_text = b.schema.get_field_index("text")
             raw, off = tb.text_bytes(b.column(i_text))
-            data, doc, spans = raw.tobytes(), b.column(i_doc).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+            data, spans = raw.tobytes(), b.column(b.num_columns - 1).to_pylist()
             null, out = b.column(i_text).is_null().to_pylist(), []
             for i, own in enumerate(spans):
                 text, at, kept = data[off[i] : off[i + 1]], 0, []
-                for a, z in _merge([(s["start"], s["end"]) for s in own or () if s["doc_id"] == doc[i]]):
+                for a, z in _merge([(s["start"], s["end"]) for s in own or ()]):
                     kept.append(text[at:a].decode("utf-8", "ignore"))
                     at = z
                 kept.append(text[at:].decode("utf-8", "ignore"))
