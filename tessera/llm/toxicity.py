@@ -34,6 +34,8 @@ THRESHOLD = 0.7
 BUCKETS = 1 << 18
 BLOCK = 64
 EPOCHS = 25
+#: Tokens of the training texts that are worked on at once.
+SHARD = 1 << 18
 DEPTH = 6
 
 _EDGE = np.zeros(256, dtype=bool)
@@ -207,23 +209,29 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     sq_b, sq_e = 1e-8, np.full((2, 2), 1e-8)
     prev = np.concatenate([[False], y[:-1]])
     seen = np.array([[np.sum(~first & (prev == i) & (y == j)) for j in (0, 1)] for i in (0, 1)], dtype=float)
+    starts = np.flatnonzero(first)
+    at = np.searchsorted(starts, np.arange(0, n, SHARD))
+    cuts = np.unique(np.append(starts[at[at < len(starts)]], n))
+    shards = [slice(x, y_) for x, y_ in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
     for epoch in range(EPOCHS):
-        p, pair = model.marginals(feats, first)
-        g_tok = y - p
-        g = np.zeros(BUCKETS)
-        for k in range(_KINDS):
-            g += np.bincount(feats[k], weights=g_tok, minlength=BUCKETS)
+        g, gb, met = np.zeros(BUCKETS), 0.0, np.zeros(4)
+        for part in shards:  # whole texts; bounds the memory of the messages
+            p, pair = model.marginals(feats[:, part], first[part])
+            g_tok = y[part] - p
+            for k in range(_KINDS):
+                g += np.bincount(feats[k, part], weights=g_tok, minlength=BUCKETS)
+            gb += g_tok.sum()
+            met += pair[:, ~first[part]].sum(axis=1)
         g -= 0.05 * model.weights
         step = 0.6 / (1 + 0.05 * epoch)
         sq += g * g
         model.weights += step * g / np.sqrt(sq) * (np.abs(g) > 1e-3)
-        gb = g_tok.sum()
         sq_b += gb * gb
         model.bias += step * gb / np.sqrt(sq_b)
-        ge = seen - pair[:, ~first].sum(axis=1).reshape(2, 2) - 0.1 * model.edges
+        ge = seen - met.reshape(2, 2) - 0.1 * model.edges
         sq_e += ge * ge
         model.edges += 0.3 * step * ge / np.sqrt(sq_e)
-    p, _ = model.marginals(feats, first)
+    p = np.concatenate([model.marginals(feats[:, part], first[part])[0] for part in shards])
     x = _summary(p, row, d)
     scale = np.array([1, 5, 3])
     x = x / scale
