@@ -82,6 +82,10 @@ def fingerprints(docs: DataFrame, fraction: float = FRACTION, words: int = WORDS
     return out.withColumn("fingerprint", printed(F.col("sketch")))
 
 
+def _halved(at: Column, step: int, n: int, cuts: Column, c: Column) -> Column:
+    return _let(at, lambda x: F.when((x + step <= n) & (F.get(cuts, x + (step - 1)) < c), x + step).otherwise(x))
+
+
 def with_next(docs: DataFrame, columns: list[str], run: int = RUN) -> DataFrame:
     """Adds next_<column> of the next row by doc_id (ties by text); the last row's next is the first.
 
@@ -93,17 +97,15 @@ def with_next(docs: DataFrame, columns: list[str], run: int = RUN) -> DataFrame:
     runs = max(1, min(MOST_RUNS, ids["n"] // run))
     cuts = docs.agg(F.percentile_approx("doc_id", [i / runs for i in range(1, runs)], max(10_000, 4 * runs)).alias("q")).first()["q"] if runs > 1 else []
     cuts = sorted(set(cuts or []))
-    number = lambda c: F.when(c.isNull(), 0).otherwise(F.aggregate(F.lit(cuts or [-(2**63)]).cast("array<bigint>"), F.lit(0), lambda s, q: s + (c > q).cast("int")))
-    if len(cuts) > 64:  # by halves instead of along the list
-        pieces = F.lit(cuts).cast("array<bigint>")
-
-        def number(c: Column) -> Column:  # noqa: F811
-            at = F.lit(0)
-            step = 1 << (len(cuts).bit_length() - 1)
-            while step:
-                at = F.when((at + step <= len(cuts)) & (F.get(pieces, at + (step - 1)) < c), at + step).otherwise(at)
-                step //= 2
-            return F.when(c.isNull(), 0).otherwise(at)
+    pieces = F.lit(cuts or [2**63 - 1]).cast("array<bigint>")
+
+    def number(c: Column) -> Column:
+        """Cuts below c, by halves; each step is bound once, so the expression grows with the logarithm of the cuts."""
+        at, step = F.lit(0), 1 << max(len(cuts).bit_length() - 1, 0)
+        while step:
+            at = _halved(at, step, len(cuts), pieces, c)
+            step //= 2
+        return F.when(c.isNull(), 0).otherwise(at)
 
     own = docs.withColumn("run_at", number(F.col("doc_id")).cast("int"))
     heads = own.groupBy("run_at").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("head")).orderBy("run_at").collect()
