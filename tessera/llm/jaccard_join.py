@@ -304,7 +304,8 @@ def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, par
     member = classes.join(blocks, "s1").select(F.col("rep.rid").alias("rid"), "s1", "n", "mult", "block")
     parts = member.groupBy("block").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)), F.ceil(F.sum("n") * 8 / F.lit(part_bytes))).cast("int").alias("parts"))
     member = stored(member.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("s1"), F.col("parts")).cast("int")), "jaccard-members")
-    sets = texts.select("rid", "text").join(member.drop("n"), "rid")
+    # the texts are dealt by row at every size: what is wanted of them grows with them
+    sets = texts.select("rid", "text").join(member.drop("n").hint("merge"), "rid")
     schema = "text binary, s1 long, mult long, block long, parts int, part int"
     sets = sets.select("text", "s1", "mult", "block", "parts", "part").mapInArrow(_set_rows(k), schema)
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
