@@ -1,13 +1,12 @@
 """Benchmark decontamination: finds passages of benchmark items in documents, also edited ones.
 
-Item-sized windows of a document start at content-chosen words (the leftmost least word hash of every ``SPREAD``
-consecutive words), so that a window over a passage and the item start at the same word. The CGK
-embedding walks a window: step j emits word i and moves on by a random bit of (j, word), which maps
-edit distance to Hamming distance. Each repetition of the LSH samples ``SAMPLED`` steps of its own walk; a window
-that emits what an item's window emits there is a candidate. A walk stops at the first sampled step at which no
-item agrees. Repetitions are added until, by simulation of edits at the threshold, the target recall is reached.
-Candidates are verified: the edit distance of characters between the whole item and the
-best part of the item-sized stretch around it, both lower-cased with white space collapsed.
+Item and document are read as characters, lower-cased with white space collapsed. Runs of ``q`` characters that an item and a
+document share are counted on diagonals (place in the document less place in the item). A part of the document within ``k`` edits of the
+item keeps to k + 1 diagonals; where so many together hold ``least`` runs the item is a candidate. (Bands of at least k diagonals
+are counted first, and the diagonals only where two neighbouring bands hold enough.) ``plan`` chooses q and least for the length of
+the item: up to ``SHORT`` characters one run that k edits cannot all break (by pigeonhole, nothing is lost), above it the fewest runs
+that survive k simulated edits of characters, spread at random or evenly, in a share ``RECALL`` of the trials. Nothing else stands before the
+verification: the edit distance between the whole item and the best part of the stretch of text that the diagonals span.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` bytes, each of which is broadcast and held against all documents;
 documents are never shuffled. Texts are read whole.
@@ -20,6 +19,7 @@ Extra columns are dropped by ``leaks`` and kept by ``clean_documents``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -31,209 +31,271 @@ from tessera.llm import textbatch as tb
 
 SIMILARITY = 0.8
 RECALL = 0.95
-SPREAD = 6
-SAMPLED = 4
-#: Steps of the walk that are sampled from; a walk reads about half as many words.
-STEPS = 16
 LEAST_WORDS = 5
 BLOCK_BYTES = 4 << 20
-MOST_REPETITIONS = 12
-_TABLE = 16
-
-
-def _bit(x: np.ndarray, salt: int, j: int) -> np.ndarray:
-    return ((x ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(63 - j % 24)) & np.uint64(1)
-
-
-def _starts(h: np.ndarray, spread: int = SPREAD) -> np.ndarray:
-    """Positions of the leftmost least hash in every ``spread`` consecutive words."""
-    if len(h) < spread:
-        return np.arange(len(h))
-    v = (tb.mix(h ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(h), dtype=np.uint64)
-    m = v[: len(v) - spread + 1].copy()
-    for k in range(1, spread):
-        np.minimum(m, v[k : len(v) - spread + 1 + k], out=m)
-    at = (m & np.uint64(0xFFFFFF)).astype(np.int64)
-    return at[np.append(True, at[1:] != at[:-1])]
-
-
-def _step_key(key: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return (key ^ x) * np.uint64(0xD6E8FEB86659FD93) + (key >> np.uint64(29))
-
-
-@dataclass
-class Repetition:
-    salt: int
-    steps: list[int]  # sampled, ascending; the first is 0
-    tables: list[np.ndarray]  # which prefixes of the sample any item has
-    keys: np.ndarray  # sorted
-    item: np.ndarray
-    offset: np.ndarray  # of the window in its item, in words
-
-
-def _walk(h: np.ndarray, at: np.ndarray, rep: Repetition, stop: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(indices into ``at``, keys) of the walks that are left at the end.
-
-    With tables, walks that agree with no item are dropped on the way. With ``stop`` (items), walks past it are dropped
-    at the end, and keys at all sampled steps are returned too.
+#: Items of so many characters or fewer are found for certain.
+SHORT = 24
+#: Runs of characters that are tried for longer items, and the survivors wanted of the longest.
+RUNS, SURVIVORS = (6, 5, 4), 8
+TRIALS = 100
+#: Characters worked on at once, cells and pairs of places held at once.
+SEGMENT, CELLS, PAIRS = 1 << 18, 1 << 21, 1 << 21
+_TABLE = 20
+
+
+def allowed(m: int, similarity: float = SIMILARITY) -> int:
+    """Edits that an item of m characters may have."""
+    return int((1 - similarity) * m + 1e-9)
+
+
+def survivors(m: int, k: int, q: int, even: bool, rng: np.random.Generator) -> int:
+    """Runs of q characters of an item of m that are left after k simulated edits."""
+    at = (np.arange(k) + rng.random(k)) * m / k if even else rng.choice(m, k, replace=False)
+    at = np.asarray(at, dtype=np.int64)
+    # an inserted character breaks the runs on both sides of a gap, one less than a changed character does
+    gap = rng.integers(0, 3, k) == 0
+    broken = np.zeros(m + 2, dtype=np.int64)
+    np.add.at(broken, np.maximum(at - q + 1, 0) + (gap & (at >= q - 1)), 1)
+    np.add.at(broken, at + 1, -1)
+    return int((np.cumsum(broken)[: m - q + 1] == 0).sum())
+
+
+@lru_cache(maxsize=None)
+def plan(m: int, similarity: float = SIMILARITY, recall: float = RECALL, seed: int = 7) -> tuple[int, int]:
+    """(q, least): an item of m characters is looked for where ``least`` of its runs of q characters are.
+
+    Of edits at random places and of edits spread evenly, each found with the recall asked for, the lesser number counts. There is no end
+    to this before the recall is reached: where no q leaves a run, one is taken that k edits cannot break.
     """
-    live, i, key = np.arange(len(at)), at.copy(), np.zeros(len(at), dtype=np.uint64)
-    last, n, met = rep.steps[-1], len(h), []
-    wanted = {s: k for k, s in enumerate(rep.steps)}
-    for j in range(last + 1):
-        x = h[np.minimum(i, n - 1)]
-        if j in wanted:
-            key = _step_key(key, x)
-            if stop is not None:
-                met.append(key)
-            else:
-                ok = rep.tables[wanted[j]][key >> np.uint64(64 - _TABLE)]
-                live, i, key, x = live[ok], i[ok], key[ok], x[ok]
-        if j < last:
-            i = i + _bit(x, rep.salt, j).astype(np.int64)
-    if stop is not None:
-        ok = i < stop
-        return live[ok], key[ok], [m[ok] for m in met]
-    ok = i < n
-    return live[ok], key[ok], met
-
-
-def _new_repetition(rng: np.random.Generator, steps: int = STEPS) -> Repetition:
-    chosen = [0, *sorted(rng.choice(np.arange(1, steps), size=SAMPLED - 1, replace=False).tolist())]
-    return Repetition(int(rng.integers(1, 1 << 63)), chosen, [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def repetitions(words: int, similarity: float = SIMILARITY, recall: float = RECALL, seed: int = 7) -> list[Repetition]:
-    """Enough repetitions that items of that many words, edited at the threshold, are found with the target recall.
-
-    Simulated: words are substituted, deleted or inserted at the allowed rate.
+    k = allowed(m, similarity)
+    sure = max(1, min(m // (k + 1), RUNS[0]))
+    if m <= SHORT or k == 0:
+        return sure, 1
+    fewest = ceil(k / (1 - similarity) - 1e-9)  # characters that allow k edits; more of them leave more runs
+    if fewest < m:
+        return plan(fewest, similarity, recall, seed) if fewest > SHORT else (sure, 1)
+    if m > 1000:  # the share that survives varies less the longer the item is
+        q, least = plan(1000, similarity, recall, seed)
+        return q, least * m // 1000
+    for q in RUNS:
+        rng = np.random.default_rng([seed, m, q])
+        least = min(sorted(survivors(m, k, q, even, rng) for _ in range(TRIALS))[int((1 - recall) * TRIALS + 1e-9)] for even in (False, True))
+        if least >= SURVIVORS or q == RUNS[-1]:
+            return (q, least) if least else (sure, 1)
+    raise AssertionError
+
+
+def _runs(points: np.ndarray, q: int) -> np.ndarray:
+    """Hashes of _TABLE bits of every run of q characters."""
+    n = len(points) - q + 1
+    if n <= 0:
+        return np.zeros(0, np.uint32)
+    h = points[:n] * np.uint32(0x9E3779B1)
+    for i in range(1, q):
+        h = (h ^ points[i : i + n]) * np.uint32(0x85EBCA6B) + (h >> np.uint32(15))
+    return (h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - _TABLE)
+
+
+def _points(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(characters, first of each row and the end): lower-cased, white space collapsed, a line feed after each row."""
+    space = tb.SPACE[raw]
+    fresh = np.zeros(len(raw) + 1, dtype=bool)
+    fresh[off] = True
+    keep = ~space
+    keep[1:] |= ~space[:-1] & ~fresh[1:-1]
+    low = np.where(space, np.uint8(32), tb.LOWER[raw])[keep].tobytes()
+    edge = np.concatenate([[0], np.cumsum(keep)])[off].tolist()
+    flat = b"\n".join([low[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)] + [b""])
+    points = np.frombuffer(flat.decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
+    return points, np.concatenate([[0], np.flatnonzero(points == 10) + 1])
+
+
+def _nearest(masks: dict[int, int], m: int, text: list[int], most: int, anchored: bool = False) -> tuple[int, int]:
+    """(least edit distance between the pattern and a part of text, end of the first such part); anchored parts start at 0.
+
+    Ends early where no part can come down to ``most`` any more.
     """
-    rng = np.random.default_rng(seed)
-    trials, rate = 120, 1 - similarity
-    cases = []
-    for _ in range(trials):
-        a = rng.integers(1, 1 << 62, size=words).astype(np.uint64)
-        b: list[int] = []
-        for x in a.tolist():
-            u = rng.random()
-            if u < rate / 3:
-                continue
-            b.append(int(rng.integers(1, 1 << 62)) if u < 2 * rate / 3 else x)
-            if u > 1 - rate / 3:
-                b.append(int(rng.integers(1, 1 << 62)))
-        cases.append((a, np.array(b or [1], dtype=np.uint64)))
-    found = np.zeros(trials, dtype=bool)
-    reps: list[Repetition] = []
-    while len(reps) < MOST_REPETITIONS and (found.mean() < recall or len(reps) < 3):
-        rep = _new_repetition(rng, min(STEPS, max(SAMPLED + 1, words)))
-        reps.append(rep)
-        for t, (a, b) in enumerate(cases):
-            if not found[t]:
-                _, ka, _ = _walk(a, _starts(a), rep, np.full(len(_starts(a)), len(a)))
-                _, kb, _ = _walk(b, _starts(b), rep, np.full(len(_starts(b)), len(b)))
-                found[t] = bool(np.isin(ka, kb).any())
-    return reps
-
-
-def _lower_words(text: str) -> list[bytes]:
-    raw = np.frombuffer(text.encode(), dtype=np.uint8)
-    s, e, _ = tb.words(raw, np.array([0, len(raw)]))
-    low = tb.LOWER[raw].tobytes()
-    return [low[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    up, down, score, best, end = full, 0, m, m, 0
+    spare = most + len(text)
+    get = masks.get
+    for j, c in enumerate(text):
+        eq = get(c, 0)
+        xv = eq | down
+        xh = (((eq & up) + up) ^ up) | eq
+        ph = down | (full & ~(xh | up))
+        mh = up & xh
+        if ph & top:
+            score += 1
+            if score > spare - j:
+                break
+        elif mh & top:
+            score -= 1
+            if score < best:
+                best, end = score, j + 1
+                if not best:
+                    break
+        ph = ph << 1 | anchored
+        up = (mh << 1 | ~(xv | ph)) & full
+        down = ph & xv & full
+    return best, end
+
+
+def _masks(points: list[int]) -> dict[int, int]:
+    masks: dict[int, int] = {}
+    for i, c in enumerate(points):
+        masks[c] = masks.get(c, 0) | 1 << i
+    return masks
 
 
 def edit_distance_within(item: np.ndarray, stretch: np.ndarray) -> int:
     """Least edit distance between item and any part of stretch (arrays of code points)."""
-    row = np.zeros(len(stretch) + 1, dtype=np.int32)
-    ramp = np.arange(len(stretch) + 1, dtype=np.int32)
-    for c in item:
-        new = np.empty_like(row)
-        new[0] = row[0] + 1
-        new[1:] = np.minimum(row[:-1] + (stretch != c), row[1:] + 1)
-        row = np.minimum.accumulate(new - ramp) + ramp
-    return int(row.min())
+    return _nearest(_masks(item.tolist()), len(item), stretch.tolist(), len(item))[0] if len(item) else 0
+
+
+@dataclass
+class Group:
+    """Items that are looked for with runs of the same length on bands of the same width."""
+
+    q: int
+    shift: int  # a band has 2 ** shift diagonals
+    items: np.ndarray
+    edits: np.ndarray
+    longest: int
+    least: np.ndarray
+    runs: np.ndarray  # hashes, sorted
+    item: np.ndarray  # of each run, as an index into items
+    place: np.ndarray
+    tables: tuple[np.ndarray, np.ndarray] | None = None  # number and first of the runs of each hash; made where they are used
+
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.tables is None:
+            count = np.bincount(self.runs, minlength=1 << _TABLE)
+            self.tables = count.astype(np.int32), (np.cumsum(count) - count).astype(np.int32)
+        return self.tables
 
 
 class Index:
-    """LSH of one block of the benchmark."""
+    """Places of the runs of characters of one block of the benchmark."""
 
-    def __init__(self, ids: list[int], texts: list[str], similarity: float = SIMILARITY, recall: float = RECALL, seed: int = 7):
+    def __init__(self, ids: list[int | None], texts: list[str], similarity: float = SIMILARITY, recall: float = RECALL, seed: int = 7):
         self.similarity = similarity
-        self.ids, self.words, self.points = [], [], []
-        hashes = []
+        self.ids, self.points, self.masks = [], [], []
         for i, t in zip(ids, texts, strict=True):
-            w = _lower_words(t or "")
-            if len(w) >= LEAST_WORDS:
-                raw = np.frombuffer((t or "").encode(), dtype=np.uint8)
-                s, e, _ = tb.words(raw, np.array([0, len(raw)]))
-                hashes.append(tb.span_hashes(raw, s, e))
+            raw = np.frombuffer((t or "").encode(), dtype=np.uint8)
+            points = _points(raw, np.array([0, len(raw)]))[0][:-1]
+            points = points[:-1] if len(points) and points[-1] == 32 else points
+            if len(tb.words(raw, np.array([0, len(raw)]))[0]) >= LEAST_WORDS:
                 self.ids.append(i)
-                self.words.append(np.unique(hashes[-1]))
-                self.points.append(np.array([ord(c) for c in b" ".join(w).decode()], dtype=np.int32))
-        self.sizes = np.array([len(h) for h in hashes], dtype=np.int64)
-        self.reps: list[Repetition] = []
-        if not hashes:
-            return
-        least = int(self.sizes.min())
-        self.reps = repetitions(least, similarity, recall, seed)
-        flat = np.concatenate(hashes)
-        base = np.concatenate([[0], np.cumsum(self.sizes)])
-        at, item = [], []
-        for k, h in enumerate(hashes):
-            own = _starts(h)
-            at.append(own + base[k])
-            item.append(np.full(len(own), k))
-        at, item = np.concatenate(at), np.concatenate(item)
-        for rep in self.reps:
-            live, key, met = _walk(flat, at, rep, base[item + 1])
-            for m in met:
-                table = np.zeros(1 << _TABLE, dtype=bool)
-                table[m >> np.uint64(64 - _TABLE)] = True
-                rep.tables.append(table)
+                self.points.append(points)
+                self.masks.append(_masks(points.tolist()))
+        self.edits = [allowed(len(p), similarity) for p in self.points]
+        kinds: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for k, p in enumerate(self.points):
+            q, least = plan(len(p), similarity, recall, seed)
+            kinds.setdefault((q, max(2, (self.edits[k] - 1).bit_length() if self.edits[k] else 0)), []).append((k, least))
+        self.groups: list[Group] = []
+        for (q, shift), members in sorted(kinds.items()):
+            most = max(1, CELLS // (SEGMENT >> shift)) if SEGMENT >> shift else len(members)
+            for a in range(0, len(members), most):
+                own = members[a : a + most]
+                runs = [_runs(self.points[k], q) for k, _ in own]
+                flat = np.concatenate(runs)
+                order = np.argsort(flat, kind="stable")
+                item = np.repeat(np.arange(len(own), dtype=np.int32), [len(r) for r in runs])[order]
+                place = np.concatenate([np.arange(len(r), dtype=np.int32) for r in runs])[order]
+                which = np.array([k for k, _ in own])
+                longest = max(len(self.points[k]) for k, _ in own)
+                self.groups.append(Group(q, shift, which, np.array(self.edits)[which], longest, np.array([n for _, n in own]), flat[order], item, place))
+
+    def _candidates(self, g: Group, points: np.ndarray):
+        """(item, first and end of the stretch) of every run of neighbouring diagonals that hold enough."""
+        count, first = g.places()
+        beyond = 2 * g.longest + (4 << g.shift)
+        step = max(SEGMENT, 4 * beyond)
+        for start in range(0, len(points), step):
+            part = points[start : start + step + beyond]
+            h = _runs(part, g.q)
+            at = np.flatnonzero(count[h])
+            h = h[at]
+            n = count[h]
+            upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+            nb = ((len(part) + g.longest) >> g.shift) + 2
+
+            base = g.item * np.int32(nb)
+
+            def pairs():
+                """(run of an item, diagonal, band) of all pairs of equal runs, some at a time."""
+                a = 0
+                while a < len(at):
+                    b = max(a + 1, int(np.searchsorted(upto, upto[a] + PAIRS, side="right")) - 1)
+                    p = np.repeat((first[h[a:b]] - (upto[a:b] - upto[a])).astype(np.int32), n[a:b])
+                    p += np.arange(len(p), dtype=np.int32)
+                    diagonal = np.repeat((at[a:b] + g.longest).astype(np.int32), n[a:b])
+                    diagonal -= g.place[p]
+                    yield p, diagonal, base[p] + (diagonal >> g.shift)
+                    a = b
+
+            cells = np.zeros(len(g.items) * nb, dtype=np.int64)
+            once = list(pairs()) if upto[-1] <= PAIRS else None
+            for *_, cell in once or pairs():
+                cells += np.bincount(cell, minlength=len(cells))
+            cells = cells.reshape(len(g.items), nb)
+            hot = np.zeros(cells.shape, dtype=bool)
+            hot[:, :-1] = cells[:, :-1] + cells[:, 1:] >= g.least[:, None]
+            if not hot.any():
+                continue
+            hot[:, 1:] |= hot[:, :-1]
+            hot = hot.ravel()
+            span = (nb + 2) << (g.shift + 1)
+            keys, places = [], []
+            for p, diagonal, cell in once or pairs():
+                ok = np.flatnonzero(hot[cell])
+                keys.append(g.item[p[ok]].astype(np.int64) * span + diagonal[ok])
+                places.append(g.place[p[ok]])
+            key = np.concatenate(keys)
             order = np.argsort(key, kind="stable")
-            rep.keys, rep.item = key[order], item[live][order]
-            rep.offset = (at[live] - base[item[live]])[order]
+            every, place = key[order], np.concatenate(places)[order]
+            item = every // span
+            enough = np.searchsorted(every, every + g.edits[item], side="right") - np.arange(len(every)) >= g.least[item]
+            key, item = every[enough], item[enough]
+            if not len(key):
+                continue
+            edits = g.edits[item]
+            new = np.flatnonzero(np.append(True, key[1:] > key[:-1] + edits[:-1]))
+            last = np.append(new[1:], len(key)) - 1
+            lo, hi = np.searchsorted(every, key[new], side="left"), np.searchsorted(every, key[last] + edits[last], side="right")
+            for r, x, y, a, b in zip(item[new].tolist(), (key % span)[new].tolist(), (key % span)[last].tolist(), lo.tolist(), hi.tolist(), strict=True):
+                k = int(g.items[r])
+                if len(np.unique(place[a:b])) < g.least[r]:  # one place met often
+                    continue
+                low, high = start + x - g.longest, start + y - g.longest + self.edits[k]
+                yield k, max(low - self.edits[k], 0), min(high + len(self.points[k]) + self.edits[k], len(points))
 
-    def search(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, float, int]]:
+    def search(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int | None, int, float, int]]:
         """(row, item id, first word, similarity, distance): the best place of each item found in each row."""
-        if not self.reps or not len(raw):
-            return []
-        s, e, row = tb.words(raw, off)
-        if not len(s):
-            return []
-        h = tb.span_hashes(raw, s, e)
-        at = np.union1d(_starts(h), np.flatnonzero(np.append(True, row[1:] != row[:-1])))
-        pairs = set()
-        for rep in self.reps:
-            live, key, _ = _walk(h, at, rep, None)
-            lo, hi = np.searchsorted(rep.keys, key, "left"), np.searchsorted(rep.keys, key, "right")
-            for x, a, b in zip(live[lo < hi].tolist(), lo[lo < hi].tolist(), hi[lo < hi].tolist(), strict=True):
-                for k in range(a, b):
-                    pairs.add((int(at[x]) - int(rep.offset[k]), int(rep.item[k])))
-        if not pairs:
+        if not self.groups or not len(raw):
             return []
-        edge = np.searchsorted(row, np.arange(len(off)))
-        low = tb.LOWER[raw].tobytes()
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        done: set[tuple[int, int]] = set()
-        for first, k in sorted(pairs):
-            r = int(row[min(max(first, 0), len(row) - 1)]) if 0 <= first < len(row) else int(row[0 if first < 0 else -1])
-            n = int(self.sizes[k])
-            slack = ceil((1 - self.similarity) * n) + 1
-            for q in {r, int(row[min(max(first + n // 2, 0), len(row) - 1)])}:
-                a, b = max(first - slack, int(edge[q])), min(first + n + slack, int(edge[q + 1]))
-                if a >= b or (a // max(slack, 1), k, q) in done:
-                    continue
-                done.add((a // max(slack, 1), k, q))
-                if len(np.intersect1d(self.words[k], h[a:b])) < 0.4 * len(self.words[k]):
-                    continue
-                a, b = max(a - slack, int(edge[q])), min(b + slack, int(edge[q + 1]))
-                stretch = np.array([ord(c) for c in b" ".join(low[x:y] for x, y in zip(s[a:b].tolist(), e[a:b].tolist(), strict=True)).decode()], dtype=np.int32)
-                d = edit_distance_within(self.points[k], stretch)
-                like = 1 - d / len(self.points[k])
-                if like >= self.similarity and ((q, k) not in best or best[q, k][0] < like):
-                    best[q, k] = (like, d, max(first, int(edge[q])) - int(edge[q]))
-        return [(q, self.ids[k], first, like, d) for (q, k), (like, d, first) in sorted(best.items())]
+        points, edge = _points(raw, off)
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for g in self.groups:
+            for k, a, b in self._candidates(g, points):
+                m, most = len(self.points[k]), self.edits[k]
+                for r in range(int(np.searchsorted(edge, a, side="right")) - 1, int(np.searchsorted(edge, b, side="left"))):
+                    x, y = max(a, int(edge[r])), min(b, int(edge[r + 1]) - 1)
+                    held = best.get((r, k))
+                    if y - x < m - most or (held and held[0] == 0):
+                        continue
+                    d, end = _nearest(self.masks[k], m, points[x:y].tolist(), most)
+                    if d <= most and (held is None or d < held[0]):
+                        best[r, k] = (d, x, x + end)
+        out = []
+        for (r, k), (d, x, end) in sorted(best.items()):
+            m = len(self.points[k])
+            back = _nearest(_masks(self.points[k][::-1].tolist()), m, points[x:end][::-1].tolist(), d, True)[1]
+            word = int((points[edge[r] : end - back] == 32).sum()) + int(points[end - back] == 32)
+            out.append((r, self.ids[k], word, 1 - d / m, d))
+        return out
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
