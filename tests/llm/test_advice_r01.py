@@ -48,3 +48,28 @@ def test_edit_distance_equals_brute_force():
     for _ in range(200):
         a, b = ("".join("abc"[c] for c in rng.integers(0, 3, int(rng.integers(lo, 80)))) for lo in (1, 0))
         assert decontaminate.edit_distance_within(*(np.array([ord(c) for c in x], np.int32) for x in (a, b))) == brute(a, b)
+
+
+def test_short_items_are_found_in_longer_text():
+    rng = np.random.default_rng(9)
+    for n, edited in ((5, 0), (6, 0), (8, 2), (10, 2)):
+        items = [words(n, 5000 * n + t) for t in range(100)]
+        docs = []
+        for t, x in enumerate(items):
+            w = x.split()
+            for i in rng.choice(n, edited, replace=False).tolist():
+                w[i] = "other" if i % 2 else "thing"
+            docs.append(" ".join([words(40, 9 * t + 1), *w, words(40, 9 * t + 2)]))
+        found = decontaminate.Index(list(range(100)), items).search(*raw_of(docs))
+        near = sum(brute(x, y) <= decontaminate.allowed(len(x)) for x, y in zip(items, docs, strict=True)) if edited else 100
+        hit = len({r for r, i, *_ in found if r == i})
+        assert hit == 100 if not edited else hit >= 0.95 * near, (n, hit, near)
+
+
+def test_simulated_recall_is_reached_at_every_length():
+    for m in (*range(1, 130, 7), 238, 394, 1000):
+        q, least = decontaminate.plan(m)
+        k = decontaminate.allowed(m)
+        rng = np.random.default_rng(m + 100)
+        for even in (False, True):
+            assert k == 0 or np.mean([decontaminate.survivors(m, k, q, even, rng) >= least for _ in range(400)]) >= 0.9, m
