@@ -73,3 +73,14 @@ def test_simulated_recall_is_reached_at_every_length():
         rng = np.random.default_rng(m + 100)
         for even in (False, True):
             assert k == 0 or np.mean([decontaminate.survivors(m, k, q, even, rng) >= least for _ in range(400)]) >= 0.9, m
+
+
+def test_items_of_few_words_without_spaces_or_id(spark):
+    chinese = "人工智能是计算机科学的一个分支它企图了解智能的实质"
+    bench = spark.createDataFrame([(1, chinese), (2, "forty two"), (None, "an item that has no id at all"), (4, " "), (5, None), (6, "")], "item_id long, text string")
+    edited = chinese[:7] + "很" + chinese[8:]
+    rows = [(0, "前面的话" + chinese + "后面的话"), (1, "前面" + edited), (2, "the answer is Forty\ntwo."), (3, "here: an item that has no id at all"), (4, "clean text"), (5, " "), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(0, 1), (1, 1), (2, 2), (3, None)}
+    assert sorted(r["doc_id"] for r in decontaminate.clean_documents(docs, bench).collect()) == [4, 5, 6]
