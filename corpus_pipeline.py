@@ -29,10 +29,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates (five-word shingles, Jaccard 0.8 or more), the document with the least id.
 
-    Documents without words are kept. Of rows that repeat an id, the one with the least row hash is kept.
+    Documents without words are kept. Only linked or equal texts compete: other texts stay, also without an id or under one
+    that repeats. Of rows of a component that repeat an id, the one with the least row hash is kept.
     """
     classes = jaccard_join.jaccard_classes(docs, k=5, percent=80)
-    first = classes.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("kept"))
+    first = classes.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("kept"))
     kept = first.select(F.col("kept.rid").alias("k_rid")).unionByName(classes.where("n_shingles = 0").select(F.col("rid").alias("k_rid")).distinct())
     rid = F.xxhash64("doc_id", "text")
     copies = Window.partitionBy("k_rid").orderBy("k_rid")

@@ -282,7 +282,11 @@ def _linked(percent: int):
 
 
 def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES, bound: int | None = None) -> DataFrame:
-    """(rid, doc_id, n_shingles, component_id, n_links) for every row of (doc_id, text); rid is xxhash64(doc_id, text)."""
+    """(rid, doc_id, n_shingles, component_id, n_links, root) for every row of (doc_id, text); rid is xxhash64(doc_id, text).
+
+    component_id is the least id in the component, which two components can share or lack; root is the signature of a set in it and
+    tells components apart (null without words).
+    """
     texts = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
     rows = stored(texts.mapInArrow(_classes(k), "rid long, doc_id long, n long, s1 long, s2 long"), "jaccard-classes")
     classes = rows.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "rid")).alias("rep"), F.count(F.lit(1)).alias("mult"), F.max("n").alias("n"))
@@ -316,7 +320,7 @@ def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, par
     linked = links.join(roots, links["s1"] == roots["node"]).select("s1", "root", "links")
     named = classes.select("s1", "s2", F.col("rep.doc_id").alias("first"), "mult").join(linked, "s1", "left")
     lowest = named.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
-    named = named.join(lowest, "root", "left").select("s1", "s2", F.coalesce("least", "first").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"))
-    full = rows.where("n > 0").join(named, ["s1", "s2"]).select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    empty = rows.where("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    named = named.join(lowest, "root", "left").select("s1", "s2", F.coalesce("least", "first").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("root", "s1").alias("root"))
+    full = rows.where("n > 0").join(named, ["s1", "s2"]).select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "root")
+    empty = rows.where("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("root"))
     return full.unionByName(empty)

@@ -51,7 +51,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("rid")
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("rid", "root")
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

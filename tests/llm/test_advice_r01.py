@@ -2,6 +2,7 @@
 
 import numpy as np
 
+import corpus_pipeline
 from tessera.llm import decontaminate
 from tessera.llm import textbatch as tb
 from tests.llm.test_operators import words
@@ -84,3 +85,11 @@ def test_items_of_few_words_without_spaces_or_id(spark):
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
     assert got == {(0, 1), (1, 1), (2, 2), (3, None)}
     assert sorted(r["doc_id"] for r in decontaminate.clean_documents(docs, bench).collect()) == [4, 5, 6]
+
+
+def test_unlike_documents_without_or_under_one_id_stay(spark):
+    texts = [(None, words(40, 1)), (None, words(40, 2)), (None, words(40, 3)), (7, words(40, 4)), (7, words(40, 5)), (8, words(40, 1)), (9, words(40, 9)), (10, words(40, 9) + " more"), (11, ""), (12, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = [r["text"] for r in corpus_pipeline.keep_one_of_near(spark, docs, "").collect()]
+    assert sorted(x for x in got if x) == sorted([*(words(40, i) for i in (1, 2, 3, 4, 5)), words(40, 9)])
+    assert len(got) == 8
