@@ -42,8 +42,9 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the byte strings that occur elsewhere too; those of which nothing is left go."""
-    return suffix_dedup.dedup_documents(docs).where((F.length("text") > 0) | F.col("text").isNull())
+    """Documents without the byte strings that occur elsewhere too; those of which nothing is left go, those empty before stay."""
+    out = suffix_dedup.dedup_documents(docs.withColumn("k_empty", F.coalesce(F.length("text") == 0, F.lit(True))))
+    return out.where((F.length("text") > 0) | F.col("k_empty")).drop("k_empty")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,10 @@ def test_unlike_documents_without_or_under_one_id_stay(spark):
     got = [r["text"] for r in corpus_pipeline.keep_one_of_near(spark, docs, "").collect()]
     assert sorted(x for x in got if x) == sorted([*(words(40, i) for i in (1, 2, 3, 4, 5)), words(40, 9)])
     assert len(got) == 8
+
+
+def test_documents_empty_before_the_cut_stay(spark):
+    same = words(100, 1)
+    docs = spark.createDataFrame([(1, same), (2, same), (3, ""), (4, None), (5, words(60, 2))], "doc_id long, text string")
+    left = {r["doc_id"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    assert {3, 4, 5} <= left and not {1, 2} <= left
