@@ -121,8 +121,12 @@ class Model:
         return p1, pair
 
 
+#: Marginals below it are no part of the expected number of toxic tokens: many small ones would add up in a long clean text.
+LEAST_COUNTED = 0.2
+
+
 def _summary(p: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    most, total = np.zeros(n), np.bincount(row, weights=p, minlength=n)
+    most, total = np.zeros(n), np.bincount(row, weights=np.where(p >= LEAST_COUNTED, p, 0), minlength=n)
     np.maximum.at(most, row, p)
     most = np.clip(most, 1e-6, 1 - 1e-6)
     return np.stack([np.ones(n), np.log(most / (1 - most)), np.log(total + 1e-3)], axis=1)

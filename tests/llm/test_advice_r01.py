@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from tessera.llm import decontaminate
+from tessera.llm import chat_tree, decontaminate, toxicity
 from tessera.llm import textbatch as tb
 from tests.llm.test_operators import words
 
@@ -100,3 +100,9 @@ def test_documents_empty_before_the_cut_stay(spark):
     docs = spark.createDataFrame([(1, same), (2, same), (3, ""), (4, None), (5, words(60, 2))], "doc_id long, text string")
     left = {r["doc_id"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
     assert {3, 4, 5} <= left and not {1, 2} <= left
+
+
+def test_small_marginals_do_not_add_up():
+    p, row = np.append(np.full(20_000, 0.01), [0.3, 0.9]), np.append(np.zeros(20_000, int), [1, 1])
+    total = np.exp(toxicity._summary(p, row, 2)[:, 2]) - 1e-3
+    assert np.allclose(total, [0, 1.2])
