@@ -88,7 +88,8 @@ def _packer(pack_chars: int):
         text: list[str] = []
         turns: list[dict] = []
         convs: list[dict] = []
-        size = 0
+        size = fresh = 0  # fresh: without what the conversation before has too, so that a long shared start does not fill a pack
+        before: list[tuple[str, str]] = []
         path: list[tuple[tuple[str, str], int]] = []
 
         def closed():
@@ -101,7 +102,11 @@ def _packer(pack_chars: int):
                 while k < min(len(own), len(path)) and own[k] == path[k][0]:
                     k += 1
                 path = path[:k]
-                for role, words in own[k:]:
+                shared = 0  # with the conversation before, in this pack or the last one
+                while shared < min(len(own), len(before)) and own[shared] == before[shared]:
+                    shared += 1
+                before = own
+                for at, (role, words) in enumerate(own[k:], k):
                     line, a, z = format_turn(role, words)
                     above = path[-1][1] if path else -1
                     up = [] if above < 0 else [*turns[above]["ancestors"], {"start": turns[above]["start"], "end": turns[above]["end"]}]
@@ -113,11 +118,12 @@ def _packer(pack_chars: int):
                     turns.append({"parent": above, "start": size, "end": size + len(line), "position": position, "ancestors": up, "loss": loss})
                     text.append(line)
                     size += len(line)
+                    fresh += len(line) if at >= shared else 0
                 convs.append({"conv_id": conv, "last": path[-1][1] if path else -1})
-                if size >= pack_chars or len(convs) >= 4096:
+                if fresh >= pack_chars or len(convs) >= 4096:
                     yield closed()
                     made += 1
-                    text, turns, convs, size, path = [], [], [], 0, []
+                    text, turns, convs, size, fresh, path = [], [], [], 0, 0, []
         if convs:
             yield closed()
 

@@ -106,3 +106,15 @@ def test_small_marginals_do_not_add_up():
     p, row = np.append(np.full(20_000, 0.01), [0.3, 0.9]), np.append(np.zeros(20_000, int), [1, 1])
     total = np.exp(toxicity._summary(p, row, 2)[:, 2]) - 1e-3
     assert np.allclose(total, [0, 1.2])
+
+
+def test_a_long_shared_start_is_packed_once(spark):
+    start = words(100, 1)
+    turns = [(c, t, "user", start if t == 0 else f"own {c}") for c in range(20) for t in (0, 1)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").coalesce(1)
+    packs = chat_tree.pack_conversations(df, pack_chars=len(start) // 2)
+    texts = [r["text"] for r in packs.collect()]
+    # a pack is filled by the first conversation with the start only, then by what the others add
+    assert sum(x.count(start) for x in texts) <= 2 * len({r["pack"].split("-")[0] for r in packs.collect()}) + 1
+    back = chat_tree.read_back(chat_tree.conversations(packs)).collect()
+    assert sorted(r["conv_id"] for r in back) == list(range(20))
