@@ -647,7 +647,7 @@ def ml_score(spark, d):
 
     v = View(spark, d)
     rows = E.holdout(E.labelled(pair_features(v.pairs(), v.s1, v.tgt), v.gt()))
-    fit = M.train(E.subsample(rows, exact=False).where("fold <> 0"), rounds=5, depth=3)
+    fit = M.train(E.subsample(rows, exact=False).where("fold <> 0"))
     return M.predict(fit, rows)
 
 

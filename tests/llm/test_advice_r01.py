@@ -118,3 +118,14 @@ def test_a_long_shared_start_is_packed_once(spark):
     assert sum(x.count(start) for x in texts) <= 2 * len({r["pack"].split("-")[0] for r in packs.collect()}) + 1
     back = chat_tree.read_back(chat_tree.conversations(packs)).collect()
     assert sorted(r["conv_id"] for r in back) == list(range(20))
+
+
+def test_ml_score_trains_the_whole_model(spark, monkeypatch):
+    from tessera import catalog
+    from tessera.operators import model
+
+    seen = {}
+    monkeypatch.setattr(model, "train", lambda rows, **settings: seen.update(settings))
+    monkeypatch.setattr(model, "predict", lambda fit, rows: rows)
+    catalog.queries()["ml_score"](spark, "/root/testdata/sf0.001")
+    assert not seen.keys() & {"rounds", "rate", "depth", "least"}
