@@ -131,7 +131,7 @@ def _moments(docs: DataFrame, positives: np.ndarray) -> tuple[np.ndarray, np.nda
             yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([s.tobytes()], pa.binary())], names=["bucket", "sums"])
 
     schema = "bucket int, sums binary"
-    rows = docs.select("doc_id", "text").mapInArrow(each, schema).repartition(SUM_TASKS, "bucket").mapInArrow(total, schema).collect()
+    rows = tb.small_batches(docs).select("doc_id", "text").mapInArrow(each, schema).repartition(SUM_TASKS, "bucket").mapInArrow(total, schema).collect()
     d = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
     s = sum((np.frombuffer(r["sums"], dtype=float) for r in rows), np.zeros(2 * d * d)).reshape(2, d, d)
     return s[0], s[1]
@@ -176,21 +176,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES,
 
 
 def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
-    """docs' columns and the score: the linear score f, as (1 + f) / 2 within [0, 1]."""
-    others = [c for c in docs.columns if c != name]
+    """docs' columns and the score: the linear score f, as (1 + f) / 2 within [0, 1]. Only texts go to Python, only scores come back."""
 
-    def each(batches):
-        for b in batches:
-            raw, off = tb.text_bytes(b.column(b.schema.get_field_index("text")))
-            out = np.zeros(b.num_rows)
-            for i, j, r, o in tb.slices(raw, off):
-                out[i:j] = features(r, o) @ weights
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.clip((1 + out) / 2, 0, 1))], names=[*others, name])
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
+    def each(raw, off):
+        return pa.array(np.clip((1 + features(raw, off) @ weights) / 2, 0, 1))
 
-    kept = docs.select(*others)
-    return kept.mapInArrow(each, StructType([*kept.schema.fields, StructField(name, DoubleType())]))
+    return tb.small_batches(docs).withColumn(name, tb.of_texts(each, "double", F.col("text")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_positives: int = MAX_POSITIVES) -> DataFrame:

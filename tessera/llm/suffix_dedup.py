@@ -350,13 +350,13 @@ def _until(lead: pa.Array, value: bytes) -> int:
     return lo
 
 
-def with_row_id(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("rid", F.xxhash64("doc_id", "text"))
+def with_row_id(docs: DataFrame, name: str = "rid") -> DataFrame:
+    return docs.withColumn(name, F.xxhash64("doc_id", "text"))
 
 
 def repeated_spans(texts: DataFrame, dealt: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """(rid, start, end): overlapping stretches to remove. ``texts`` has (rid, text), ``dealt`` the same packed and partitioned by rid."""
-    keys = texts.select("rid", "text").mapInArrow(_anchor_rows, "key long, rid long, pos int")
+    keys = tb.small_batches(texts).select("rid", "text").mapInArrow(_anchor_rows, "key long, rid long, pos int")
     shared = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_runs, "rid long, pos int")
     at = shared.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     cut = dealt.join(at, "rid").select("rid", "text", "at").mapInArrow(_contexts, "rid long, pos int, nl int, nr int, ctx binary")
@@ -421,26 +421,23 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
 
-    def each(batches):
-        for b in batches:
-            i_text = b.schema.get_field_index("text")
-            raw, off = tb.text_bytes(b.column(i_text))
-            data, spans = raw.tobytes(), b.column(b.num_columns - 1).to_pylist()
-            null, out = b.column(i_text).is_null().to_pylist(), []
-            for i, own in enumerate(spans):
-                text, at, kept = data[off[i] : off[i + 1]], 0, []
-                for a, z in _merge([(s["start"], s["end"]) for s in own or ()]):
-                    kept.append(text[at:a].decode("utf-8", "ignore"))
-                    at = z
-                kept.append(text[at:].decode("utf-8", "ignore"))
-                out.append(None if null[i] else "".join(kept))
-            cols = [pa.array(out, b.schema.field(i_text).type) if i == i_text else c for i, c in enumerate(b.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+    def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
+        raw, off = tb.text_bytes(texts)
+        data, null, out = raw.tobytes(), texts.is_null().to_pylist(), []
+        for i, own in enumerate(found.to_pylist()):
+            text, at, kept = data[off[i] : off[i + 1]], 0, []
+            for a, z in _merge([(s["start"], s["end"]) for s in own or ()]):
+                kept.append(text[at:a].decode("utf-8", "ignore"))
+                at = z
+            kept.append(text[at:].decode("utf-8", "ignore"))
+            out.append(None if null[i] else "".join(kept))
+        return pa.array(out, pa.string())
 
+    cut.__annotations__ = {"texts": pa.Array, "found": pa.Array, "return": pa.Array}
     _, spans = _spans(docs)
-    rows = with_row_id(docs.withColumnRenamed("rid", "rid_own")) if "rid" in names else with_row_id(docs)
-    rows = rows.join(spans.withColumnRenamed("spans", "spans_found"), "rid", "left").drop("rid")
-    if "rid" in names:
-        rows = rows.withColumnRenamed("rid_own", "rid")
-    out = rows.select(*names, "spans_found").mapInArrow(each, docs.schema)
+    key, found = tb.fresh(docs, "rid"), tb.fresh(docs, "spans")
+    rows = with_row_id(docs, key).join(spans.select(F.col("rid").alias(key), F.col("spans").alias(found)), key, "left")
+    # texts without a repeat stay in the JVM
+    left = F.arrow_udf(cut, "string").asNondeterministic()(F.when(F.col(found).isNotNull(), F.col("text")), F.col(found))
+    out = rows.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(left)).select(*names)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

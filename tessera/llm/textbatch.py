@@ -6,12 +6,14 @@ so UTF-8 texts are cut safely on bytes. Nulls are read as empty texts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def _one_blas_thread() -> None:
@@ -34,6 +36,10 @@ _one_blas_thread()
 #: about 60 times as much. A single longer text is still worked on whole.
 SLICE_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch between the JVM and Python; the session's own 64 MB are held several times over on both sides.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
@@ -90,6 +96,39 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with its session's Arrow batches bounded to ``BATCH_BYTES`` (a single longer row is still a batch)."""
+    conf = df.sparkSession.conf
+    now = re.fullmatch(r"(\d+)b?", conf.get(_BATCH_SETTING))
+    if now is None or int(now[1]) > BATCH_BYTES:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have (Spark does not tell upper from lower case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def of_texts(each, returns: str, text: Column) -> Column:
+    """A column worked out from the texts alone: each(bytes, offsets) gives the values of one slice as an Arrow array.
+
+    The other columns never leave the JVM.
+    """
+
+    def call(column: pa.Array) -> pa.Array:
+        raw, off = text_bytes(column)
+        parts = [each(r, o) for _, _, r, o in slices(raw, off)]
+        return pa.concat_arrays(parts) if parts else each(raw, off)
+
+    call.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    # marked so that a filter and a column of the same name are worked out once
+    return F.arrow_udf(call, returns).asNondeterministic()(text)
+
+
 def slices(raw: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows, about ``most`` bytes each."""
     n, i = len(off) - 1, 0
