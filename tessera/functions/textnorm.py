@@ -11,11 +11,11 @@ from pyspark.sql.functions import pandas_udf
 
 # Legal-form words that a name signature leaves out.
 LEGAL_TOKENS = (
-    "ltd limited llc llp lp inc incorporated corp corporation co company pvt pvtl private plc and "
-    "gmbh kg ag ohg sarl sas eurl srl spa sa bv nv oy ab as oyj pty pte ltda eirl ets ste sci "
-    "प्राइवेट लिमिटेड प्रा लि प्रा। लि। ലിമിറ്റഡ് പ്രൈവറ്റ് പ്രാ லிமிடெட் பிரைவேட் లిమిటెడ్ ప్రైవేట్ "
-    "ಲಿಮಿಟೆಡ್ ಪ್ರೈವೇಟ್ লিমিটেড প্রাইভেট લિમિટેડ પ્રાઇવેટ ਲਿਮਿਟੇਡ ਪ੍ਰਾਈਵੇਟ"
-).split()
+    "ltd", "limited", "llc", "llp", "lp", "inc", "incorporated", "corp", "corporation", "co", "company", "pvt", "pvtl", "private", "plc", "and",
+    "gmbh", "kg", "ag", "ohg", "sarl", "sas", "eurl", "srl", "spa", "sa", "bv", "nv", "oy", "ab", "as", "oyj", "pty", "pte", "ltda", "eirl", "ets",
+    "ste", "sci", "प्राइवेट", "लिमिटेड", "प्रा", "लि", "प्रा।", "लि।", "ലിമിറ്റഡ്", "പ്രൈവറ്റ്", "പ്രാ", "லிமிடெட்", "பிரைவேட்", "లిమిటెడ్",
+    "ప్రైవేట్", "ಲಿಮಿಟೆಡ್", "ಪ್ರೈವೇಟ್", "লিমিটেড", "প্রাইভেট", "લિમિટેડ", "પ્રાઇવેટ", "ਲਿਮਿਟੇਡ", "ਪ੍ਰਾਈਵੇਟ",
+)
 
 # US states and their postal codes.
 US_STATES = {
