@@ -461,34 +461,91 @@ def pair_jaro_winkler(spark, d):
     return r.select("s1", "tgt", R6(S.jaro_winkler_column(F.col("name1"), F.col("name2"))).alias("name_jw"))
 
 
-@query()
-def pair_indel_ratio(spark, d):
+def _lcs_sql(source: str, out: str) -> str:
+    """CTEs: ``out`` has the columns of ``source`` (with strings a and b) and lcs, the length of their longest common subsequence.
+
+    Bits of a HUGEINT stand for the places of a, so a has 126 characters at most.
+    """
+    return f"""{out}_m AS (SELECT *, CAST(pow(2, length(a)) AS HUGEINT) - 1 AS ful, string_split(a, '') AS ca FROM {source}),
+{out}_n AS (SELECT *, list_transform(string_split(b, ''), lambda c: CAST(list_sum(list_transform(range(length(a)), lambda i: CASE WHEN ca[i + 1] = c THEN CAST(pow(2, i) AS HUGEINT) ELSE 0::HUGEINT END)) AS HUGEINT)) AS ms FROM {out}_m),
+{out} AS (SELECT * EXCLUDE (ful, ca, ms), length(a) - bit_count(list_reduce(list_prepend(ful, ms), lambda v, m: ((v + (v & m)) | (v - (v & m))) & ful)) AS lcs FROM {out}_n)"""
+
+
+def _ratio_sql(source: str, out: str) -> str:
+    """CTEs: ``out`` has (s1, tgt, kind, ratio) of the strings a and b of ``source``; other pairs than of equal or empty strings once each."""
+    return f"""{out}_d AS (SELECT DISTINCT a, b FROM {source} WHERE a <> '' AND b <> '' AND a <> b), {_lcs_sql(out + "_d", out + "_l")},
+{out} AS (SELECT s1, tgt, kind, CASE WHEN s.a = s.b THEN 1.0 WHEN s.a = '' OR s.b = '' THEN 0.0 ELSE 2.0 * lcs / (length(s.a) + length(s.b)) END AS ratio FROM {source} s LEFT JOIN {out}_l l ON s.a = l.a AND s.b = l.b)"""
+
+
+_SIDES = "SELECT s1, tgt, 'name' AS kind, {0}name1{1} AS a, {0}name2{1} AS b FROM rows UNION ALL SELECT s1, tgt, 'addr', {0}addr1{1}, {0}addr2{1} FROM rows"
+_SORTED = ("array_to_string(list_sort(list_filter(string_split(", ", ' '), lambda t: t <> '')), ' ')")
+_INDEL = f"both_ AS ({_SIDES.format('', '')}), {_ratio_sql('both_', 'ind')}"
+_TSORT = f"srt AS ({_SIDES.format(*_SORTED)}), {_ratio_sql('srt', 'tso')}"
+# shared words, and these with either side's own; the shared words are the start of both
+_TSET = f"""raw AS ({_SIDES.format('', '')}), wds AS (SELECT *, list_distinct(list_filter(string_split(a, ' '), lambda t: t <> '')) AS x, list_distinct(list_filter(string_split(b, ' '), lambda t: t <> '')) AS y FROM raw),
+par AS (SELECT *, array_to_string(list_sort(list_filter(x, lambda t: list_contains(y, t))), ' ') AS i, array_to_string(list_sort(list_filter(x, lambda t: NOT list_contains(y, t))), ' ') AS p, array_to_string(list_sort(list_filter(y, lambda t: NOT list_contains(x, t))), ' ') AS q FROM wds),
+tst AS (SELECT s1, tgt, kind, trim(i || ' ' || p) AS a, trim(i || ' ' || q) AS b FROM par), {_ratio_sql('tst', 'tsr')},
+tse AS (SELECT par.s1, par.tgt, par.kind, CASE WHEN par.a = '' OR par.b = '' THEN CAST(par.a = par.b AS DOUBLE) WHEN i <> '' AND (p = '' OR q = '') THEN 1.0
+  WHEN i = '' THEN ratio ELSE greatest(ratio, 2.0 * length(i) / (2 * length(i) + 1 + least(length(p), length(q)))) END AS ratio FROM par JOIN tsr USING (s1, tgt, kind))"""
+# windows of the shorter string's length in the longer, cut off at both ends; of equal lengths either way
+_PARTIAL = f"""way AS (SELECT s1, tgt, name1 AS s, name2 AS t FROM rows WHERE length(name1) <= length(name2) UNION ALL SELECT s1, tgt, name2, name1 FROM rows WHERE length(name2) <= length(name1)),
+wins AS (SELECT DISTINCT s AS a, substr(t, greatest(k, 0) + 1, least(k + length(s), length(t)) - greatest(k, 0)) AS b, s, t FROM (SELECT DISTINCT s, t, unnest(range(1 - length(s), length(t))) AS k FROM way WHERE s <> '' AND s <> t)),
+one AS (SELECT DISTINCT a, b FROM wins), {_lcs_sql("one", "sub")},
+bst AS (SELECT s, t, max(2.0 * lcs / (length(a) + length(b))) AS best FROM wins JOIN sub USING (a, b) GROUP BY s, t),
+prt AS (SELECT s1, tgt, max(CASE WHEN way.s = way.t THEN 1.0 WHEN way.s = '' THEN 0.0 ELSE best END) AS name_partial FROM way LEFT JOIN bst ON way.s = bst.s AND way.t = bst.t GROUP BY s1, tgt)"""
+_JW = "CASE WHEN name1 = '' AND name2 = '' THEN 1.0 WHEN name1 = '' OR name2 = '' THEN 0.0 ELSE jaro_winkler_similarity(name1, name2) END"
+
+
+def _pivot(out: str, name: str) -> str:
+    return f"SELECT s1, tgt, round(max(CASE WHEN kind = 'name' THEN ratio END), 6) AS name_{name}, round(max(CASE WHEN kind = 'addr' THEN ratio END), 6) AS addr_{name} FROM {out} GROUP BY s1, tgt"
+
+
+def _measured(spark, d, column, name):
     r = View(spark, d).rows()
-    return r.select("s1", "tgt", S.ratio_column(F.col("name1"), F.col("name2")).alias("name_ratio"), S.ratio_column(F.col("addr1"), F.col("addr2")).alias("addr_ratio"))
+    return r.select("s1", "tgt", R6(column(F.col("name1"), F.col("name2"))).alias(f"name_{name}"), R6(column(F.col("addr1"), F.col("addr2"))).alias(f"addr_{name}"))
 
 
-@query()
+@query(f"{WI}, {_REC}, {_INDEL} {_pivot('ind', 'ratio')}")
+def pair_indel_ratio(spark, d):
+    return _measured(spark, d, S.ratio_column, "ratio")
+
+
+@query(f"{WI}, {_REC}, {_TSORT} {_pivot('tso', 'tsort')}")
 def pair_token_sort(spark, d):
-    r = View(spark, d).rows()
-    return r.select("s1", "tgt", S.token_sort_column(F.col("name1"), F.col("name2")).alias("name_tsort"), S.token_sort_column(F.col("addr1"), F.col("addr2")).alias("addr_tsort"))
+    return _measured(spark, d, S.token_sort_column, "tsort")
 
 
-@query()
+@query(f"{WI}, {_REC}, {_TSET} {_pivot('tse', 'tsr')}")
 def pair_token_set(spark, d):
-    r = View(spark, d).rows()
-    return r.select("s1", "tgt", S.token_set_column(F.col("name1"), F.col("name2")).alias("name_tsr"), S.token_set_column(F.col("addr1"), F.col("addr2")).alias("addr_tsr"))
+    return _measured(spark, d, S.token_set_column, "tsr")
 
 
-@query()
+@query(f"{WI}, {_REC}, {_PARTIAL} SELECT s1, tgt, round(name_partial, 6) AS name_partial FROM prt")
 def pair_partial(spark, d):
     r = View(spark, d).rows()
-    return r.select("s1", "tgt", S.partial_column(F.col("name1"), F.col("name2")).alias("name_partial"))
+    return r.select("s1", "tgt", R6(S.partial_column(F.col("name1"), F.col("name2"))).alias("name_partial"))
 
 
-@query()
+_ALL = {
+    "name_ratio": "n.ratio", "name_tsr": "ns.ratio", "name_tsort": "nt.ratio", "name_partial": "name_partial", "name_jacc": _jacc("name1", "name2"), "name_exact": _same("name1", "name2"),
+    "name_len_ratio": _lenr("name1", "name2"), "name_sig_jacc": _jacc("sig1", "sig2"), "name_sig_exact": _same("sig1", "sig2"), "addr_ratio": "a.ratio", "addr_tsr": "s.ratio", "addr_tsort": "t.ratio",
+    "addr_jacc": _jacc("addr1", "addr2"), "addr_exact": _same("addr1", "addr2"), "addr_len_ratio": _lenr("addr1", "addr2"), "house_match": _same("h1", "h2"), "postal_match": _same("z1", "z2"),
+    "script_mismatch": "CAST(nn1 <> nn2 OR an1 <> an2 AS DOUBLE)", "same_source": "CAST(is_s3 AS DOUBLE)",
+}
+
+
+@query(
+    f"{WI}, {_REC}, {_INDEL}, {_TSORT}, {_TSET}, {_PARTIAL} SELECT r.s1, r.tgt, "
+    + ", ".join(f"round(CAST(CAST({x} AS FLOAT) AS DOUBLE), 5) AS {c}" for c, x in _ALL.items())
+    + f", round(CAST(CAST({_JW} AS FLOAT) AS DOUBLE), 5) AS name_jw FROM rows r"
+    + "".join(f" JOIN {t} {x} ON r.s1 = {x}.s1 AND r.tgt = {x}.tgt AND {x}.kind = '{k}'" for t, x, k in (("ind", "n", "name"), ("tse", "ns", "name"), ("tso", "nt", "name"), ("ind", "a", "addr"), ("tse", "s", "addr"), ("tso", "t", "addr")))
+    + " JOIN prt ON r.s1 = prt.s1 AND r.tgt = prt.tgt"
+)
 def pair_all_features(spark, d):
+    """All 20 features."""
     v = View(spark, d)
-    return pair_features(v.pairs(), v.s1, v.tgt)
+    out = pair_features(v.pairs(), v.s1, v.tgt)
+    return out.select("s1", "tgt", *[F.round(F.col(c).cast("double"), 5).alias(c) for c in out.columns[2:]])
 
 
 # --- decisions and results
@@ -553,10 +610,10 @@ def validate_counts(spark, d):
 # --- statistics
 
 
-@query(f"WITH {ENT}, {GT}, deg AS (SELECT country, coalesce(n, 0) AS n FROM ent LEFT JOIN (SELECT s1, count(*) AS n FROM gt GROUP BY s1) ON rid = s1 WHERE src = 0) SELECT country, count(*) AS entities, CAST(count(*) FILTER (n > 0) AS BIGINT) AS with_match, round(avg(n), 6) AS mean_degree, max(n) AS max_degree FROM deg GROUP BY country")
+@query(f"WITH {ENT}, {GT}, deg AS (SELECT country, coalesce(n, 0) AS n FROM ent LEFT JOIN (SELECT s1, count(*) AS n FROM gt GROUP BY s1) ON rid = s1 WHERE src = 0) SELECT country, count(*) AS entities, CAST(count(*) FILTER (n > 0) AS BIGINT) AS with_match, round(avg(n), 6) AS mean_degree, round(stddev_samp(n), 6) AS std_degree, quantile_cont(n, 0.25) AS p25_degree, quantile_cont(n, 0.5) AS p50_degree, quantile_cont(n, 0.75) AS p75_degree, max(n) AS max_degree FROM deg GROUP BY country")
 def degree_stats(spark, d):
     v = View(spark, d)
-    return C.degrees(v.gt(), v.raw.where("src = 0")).withColumn("mean_degree", R6("mean_degree"))
+    return C.degrees(v.gt(), v.raw.where("src = 0")).withColumns({"mean_degree": R6("mean_degree"), "std_degree": R6("std_degree")})
 
 
 @query(f"{W} SELECT src, round(1 - count(DISTINCT name) / count(*), 6) AS name_ratio, round(1 - count(DISTINCT sig) / count(*), 6) AS sig_ratio FROM normal GROUP BY src")
@@ -619,10 +676,86 @@ def pairs_per_row(spark, d):
     return C.pairs_per_row(v.pairs(), v.s1).withColumn("per_row", R6("per_row"))
 
 
-@query(f"{WG} SELECT s1, tgt FROM gt WHERE NOT EXISTS (SELECT 1 FROM probed p WHERE p.s1 = gt.s1 AND p.tgt = gt.tgt) ORDER BY s1, tgt LIMIT 12")
+@query(f"{WG} SELECT s1, tgt FROM gt WHERE NOT EXISTS (SELECT 1 FROM exact_pairs p WHERE p.s1 = gt.s1 AND p.tgt = gt.tgt) ORDER BY s1, tgt LIMIT 12")
 def hard_pairs(spark, d):
+    """True pairs that keys of the whole name do not find."""
+    v = View(spark, d)
+    return C.hard_pairs(v.gt(), B.exact_pairs(v.probed()))
+
+
+@query(f"{W} SELECT rid, name FROM normal")
+def norm_text_unicode(spark, d):
+    """With NFKC and full case folding, as the whole resolution has it; on these texts the same as without."""
+    n = K.normalize(View(spark, d).raw, full_unicode=True)
+    return n.select("rid", "name")
+
+
+@query(
+    f"""{WG}, capped_ AS (SELECT q.rid AS s1, t.rid AS tgt, q.key_type, min(df) AS df FROM postings q JOIN postings t USING (country, key_type, key) JOIN key_df USING (key_type, key)
+  WHERE q.src = 0 AND t.src > 0 AND df <= 300 AND key_type NOT IN {_EXACT} GROUP BY ALL)
+SELECT key_type, cap, count(*) AS pairs, round(count(*) / (SELECT count(*) FROM s1), 6) AS per_row, round(count(g.s1) / (SELECT count(*) FROM gt), 6) AS recall
+FROM capped_ c JOIN (SELECT CAST(unnest([50, 150, 300]) AS BIGINT) AS cap) k ON c.df <= k.cap LEFT JOIN gt g ON c.s1 = g.s1 AND c.tgt = g.tgt GROUP BY ALL"""
+)
+def solo_recall_by_cap(spark, d):
     v = View(spark, d)
-    return C.hard_pairs(v.gt(), v.probed().select("s1", "tgt"))
+    out = C.capped_solo_recall(K.postings(v.s1), K.postings(v.tgt), v.gt(), v.s1)
+    return out.withColumns({"per_row": R6("per_row"), "recall": R6("recall")})
+
+
+_WORDS = "list_filter(string_split({0}, ' '), lambda t: length(t) >= 4)"
+_SIX = "CASE WHEN regexp_extract({0}, '(?:^|[^0-9])([0-9]{{6}})(?:[^0-9]|$)', 1) <> '' THEN regexp_extract({0}, '(?:^|[^0-9])([0-9]{{6}})(?:[^0-9]|$)', 1) ELSE regexp_extract({0}, '(?:^|[^0-9])([0-9]{{5}})(?:[^0-9]|$)', 1) END"
+_TESTS = {
+    "name_exact": "n1 <> '' AND n1 = n2", "name_sig": "n1 <> '' AND g1 = g2",
+    "name_tok": f"list_has_any({_WORDS.format('n1')}, {_WORDS.format('n2')})", "addr_tok": f"list_has_any({_WORDS.format('a1')}, {_WORDS.format('a2')})",
+    "house": "regexp_extract(a1, '([0-9]{1,7})', 1) <> '' AND regexp_extract(a1, '([0-9]{1,7})', 1) = regexp_extract(a2, '([0-9]{1,7})', 1)",
+    "postal": f"{_SIX.format('a1')} <> '' AND {_SIX.format('a1')} = {_SIX.format('a2')}",
+}
+
+
+@query(
+    f"{WG}, r AS (SELECT a.name AS n1, b.name AS n2, a.sig AS g1, b.sig AS g2, a.addr AS a1, b.addr AS a2 FROM gt JOIN s1 a ON gt.s1 = a.rid JOIN tgt b ON gt.tgt = b.rid), f AS (SELECT "
+    + ", ".join(f"CAST({x} AS DOUBLE) AS {k}" for k, x in _TESTS.items())
+    + " FROM r) SELECT " + ", ".join(f"round(avg({k}), 6) AS {k}" for k in _TESTS) + f", round(avg(greatest({', '.join(_TESTS)})), 6) AS any_key FROM f"
+)
+def predicate_coverage(spark, d):
+    v = View(spark, d)
+    out = C.predicate_coverage(v.gt(), v.s1, v.tgt)
+    return out.select(*[R6(c).alias(c) for c in out.columns])
+
+
+_EDGES = [*C.MISSED_EDGES[:-1], C.MISSED_EDGES[-1] + 1e-9]
+
+
+@query(
+    f"""{WG}, m AS (SELECT s1, tgt, max({_VOTE}) AS w FROM probed GROUP BY ALL), kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY w DESC, tgt) AS rn FROM m) WHERE rn <= 1),
+miss AS (SELECT gt.s1, gt.tgt, m.w FROM gt JOIN m USING (s1, tgt) WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.s1 = gt.s1 AND k.tgt = gt.tgt)), bins AS (SELECT unnest(range(7)) AS bucket)
+SELECT bucket, (SELECT count(*) FROM miss WHERE w >= ({_EDGES})[bucket + 1] AND w < ({_EDGES})[bucket + 2]) AS n FROM bins"""
+)
+def missed_by_weight(spark, d):
+    """Of the true pairs that the best target by weight leaves out: the votes of the keys that they share."""
+    v = View(spark, d)
+    weighted = B.max_weight(v.probed())
+    return C.missed_by_weight(E.missed(B.top_m_by_weight(weighted, 1), v.gt()), weighted)
+
+
+@query(f"{WP}, qk AS (SELECT rid AS s1, key_type, key FROM postings WHERE src = 0), key_df AS (SELECT key_type, key, count(*) AS df FROM postings WHERE src > 0 GROUP BY ALL) SELECT s1, key_type, key, coalesce(df, 0) AS df FROM qk LEFT JOIN key_df USING (key_type, key)")
+def df_lookup(spark, d):
+    """Every key of the query side with its target frequency, 0 where no target has it."""
+    v = View(spark, d)
+    keys = K.postings(v.s1).select(F.col("rid").alias("s1"), *B.KEY)
+    return C.df_lookup(keys, B.key_df(K.postings(v.tgt))).select("s1", *B.KEY, "df")
+
+
+@query(f"{WG}, g AS (SELECT * FROM gt WHERE s1 < 500), p AS (SELECT * FROM pairs WHERE s1 < 500) SELECT (SELECT count(*) FROM g) AS truth, (SELECT count(*) FROM g JOIN p USING (s1, tgt)) AS covered, round((SELECT count(*) FROM g JOIN p USING (s1, tgt)) / greatest((SELECT count(*) FROM g), 1), 6) AS recall, (SELECT count(*) FROM p) AS pairs, round((SELECT count(*) FROM p) / 500, 6) AS per_row")
+def local_recall(spark, d):
+    v = View(spark, d)
+    return C.local_recall(v.pairs(), v.gt(), 500).withColumns({"recall": R6("recall"), "per_row": R6("per_row")})
+
+
+@query()
+def sampled_top(spark, d):
+    """The three best targets of four sampled entities; which these are depends on a hash that only this engine has."""
+    return C.sampled_top(View(spark, d).scored()).select("s1", "tgt", R6("w").alias("w"), F.col("rn").cast("long").alias("place"))
 
 
 @query(f"WITH {ENT} SELECT DISTINCT substr(entity_id, 1, 3) AS prefix FROM ent")

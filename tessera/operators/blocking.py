@@ -127,3 +127,16 @@ def block(query_postings: DataFrame, target_postings: DataFrame, targets: DataFr
 def block_unscored(query_postings: DataFrame, target_postings: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
     """All pairs that share a capped key of any type."""
     return probe(query_postings, index(target_postings, capped(key_df(target_postings), caps))).select("s1", "tgt").distinct()
+
+
+def save_table(table: DataFrame, path: str, *keys: str) -> DataFrame:
+    """Stores document frequencies or an index, rows with the same first key next to each other, and reads them again."""
+    rows = table.repartition(*keys).sortWithinPartitions(*keys) if keys else table
+    rows.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
+def loose_index(target_postings: DataFrame, path: str, cap: int | None = None) -> DataFrame:
+    """The target index with its document frequencies, stored before any cap (or with one loose cap), to be capped again and again."""
+    stats = key_df(target_postings)
+    return save_table(index(target_postings, stats if cap is None else stats.where(F.col("df") <= cap)), path, *KEY)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import textnorm as N
 from tessera.operators import blocking as B
 from tessera.operators import evaluate as E
+from tessera.operators.keys import tokens
+from tessera.schema import EXACT_TYPES
 
 BUDGETS = (10_000, 30_000, 100_000, 300_000, 1_000_000, 3_000_000)
 EDGES = (0.0, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
+# Caps of the token keys, and edges between the votes of the key types.
+SOLO_CAPS = (50, 150, 300)
+MISSED_EDGES = (0.5, 1.2, 1.75, 2.25, 3.0, 5.0, 8.5, 11.0)
 
 
 def key_products(q_postings: DataFrame, t_postings: DataFrame) -> DataFrame:
@@ -48,6 +54,45 @@ def solo_recall(probed: DataFrame, gt: DataFrame) -> DataFrame:
     return out.crossJoin(F.broadcast(n)).select("key_type", "pairs", "hits", F.when(F.col("n_gt") > 0, F.col("hits") / F.col("n_gt")).otherwise(1.0).alias("recall"))
 
 
+def capped_solo_recall(q_postings: DataFrame, t_postings: DataFrame, gt: DataFrame, entities: DataFrame, caps: tuple[int, ...] = SOLO_CAPS) -> DataFrame:
+    """(key_type, cap, pairs, per_row, recall) of each token key type on its own, at each cap of its target postings.
+
+    Keys are probed once, at the largest cap; a pair counts at every cap that one of its keys is within.
+    """
+    t = t_postings.where(~F.col("key_type").isin(*EXACT_TYPES))
+    stats = B.key_df(t).where(F.col("df") <= max(caps))
+    probed = B.probe(q_postings, B.index(t, stats)).groupBy("key_type", "s1", "tgt").agg(F.min("df").alias("df"))
+    hit = probed.join(gt.select("s1", "tgt").withColumn("hit", F.lit(1)), ["s1", "tgt"], "left")
+    each = hit.withColumn("cap", F.explode(F.filter(F.lit(list(caps)), lambda c: c >= F.col("df"))))
+    found = each.groupBy("key_type", "cap").agg(F.count(F.lit(1)).alias("pairs"), F.coalesce(F.sum("hit"), F.lit(0)).alias("hits"))
+    n = gt.agg(F.count(F.lit(1)).alias("n_gt")).crossJoin(F.broadcast(entities.agg(F.count(F.lit(1)).alias("n_s1"))))
+    out = found.crossJoin(F.broadcast(n))
+    return out.select("key_type", F.col("cap").cast("long").alias("cap"), "pairs", (F.col("pairs") / F.col("n_s1")).alias("per_row"), F.when(F.col("n_gt") > 0, F.col("hits") / F.col("n_gt")).otherwise(1.0).alias("recall"))
+
+
+def predicate_coverage(gt: DataFrame, s1: DataFrame, targets: DataFrame, least: int = 4) -> DataFrame:
+    """One row: share of true pairs that agree in name, signature, a word of the name or address, house number, postal code, and in any.
+
+    House numbers and postal codes are read as for looking at the data: digits wherever they stand, six digits before five.
+    """
+    own = lambda df, key, n: df.select(F.col("rid").alias(key), F.col("name").alias(f"name{n}"), F.col("addr").alias(f"addr{n}"))
+    r = gt.select("s1", "tgt").join(own(s1, "s1", 1), "s1").join(own(targets, "tgt", 2), "tgt")
+    n1, n2, a1, a2 = (F.col(c) for c in ("name1", "name2", "addr1", "addr2"))
+    words = lambda x, y: F.arrays_overlap(tokens(x, least), tokens(y, least))
+    same = lambda x, y: (x != "") & (x == y)
+    tests = {
+        "name_exact": same(n1, n2),
+        "name_sig": (n1 != "") & (N.name_sig(n1) == N.name_sig(n2)),
+        "name_tok": words(n1, n2),
+        "addr_tok": words(a1, a2),
+        "house": same(N.house_digits(a1), N.house_digits(a2)),
+        "postal": same(N.postal_six_first(a1), N.postal_six_first(a2)),
+    }
+    r = r.select(*[F.coalesce(c, F.lit(False)).cast("double").alias(k) for k, c in tests.items()])
+    share = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
+    return r.agg(*[share(F.col(k)).alias(k) for k in tests], share(F.greatest(*[F.col(k) for k in tests])).alias("any_key"))
+
+
 def key_coverage(gt: DataFrame, probed: DataFrame) -> DataFrame:
     """One row: share of true pairs that share a key of each type, and of any."""
     from tessera.schema import KEY_TYPES
@@ -64,15 +109,49 @@ def weight_histogram(scored: DataFrame, edges: tuple[float, ...] = EDGES) -> Dat
     return scored.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def missed_by_weight(missed: DataFrame, weighted: DataFrame, edges: tuple[float, ...] = MISSED_EDGES) -> DataFrame:
+    """(bucket, n): missed pairs by the largest vote of the keys that they share, in the bins between the edges (the last is closed).
+
+    Pairs without a shared key, and votes beyond the edges, are in no bin; every bin has a row.
+    """
+    w = missed.select("s1", "tgt").join(weighted.select("s1", "tgt", "w"), ["s1", "tgt"])
+    last = len(edges) - 2
+    b = F.least(F.size(F.filter(F.lit(list(edges)), lambda e: e <= F.col("w"))) - 1, F.lit(last))
+    n = w.where((F.col("w") >= edges[0]) & (F.col("w") <= edges[-1])).groupBy(b.cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return missed.sparkSession.range(len(edges) - 1).withColumnRenamed("id", "bucket").join(n, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def df_lookup(keys: DataFrame, stats: DataFrame) -> DataFrame:
+    """keys' rows with the document frequency of their key in stats, 0 for a key that stats does not have."""
+    return keys.join(stats.select(*B.KEY, "df"), B.KEY, "left").withColumn("df", F.coalesce("df", F.lit(0)))
+
+
+def local_recall(pairs: DataFrame, gt: DataFrame, first: int) -> DataFrame:
+    """(truth, covered, recall, pairs, per_row) of the first query rows only."""
+    near = lambda df: df.where((F.col("s1") >= 0) & (F.col("s1") < first)).select("s1", "tgt")
+    mine = near(pairs).distinct()
+    hit = near(gt).join(mine.withColumn("hit", F.lit(1)), ["s1", "tgt"], "left")
+    a = hit.agg(F.count(F.lit(1)).alias("truth"), F.coalesce(F.sum("hit"), F.lit(0)).alias("covered"))
+    b = mine.agg(F.count(F.lit(1)).alias("pairs"))
+    return a.crossJoin(F.broadcast(b)).select("truth", "covered", (F.col("covered") / F.greatest("truth", F.lit(1))).alias("recall"), "pairs", (F.col("pairs") / F.lit(first)).alias("per_row"))
+
+
+def sampled_top(scored: DataFrame, n: int = 4, k: int = 3, more_than: int = 10) -> DataFrame:
+    """The k best scored targets of n query rows that have more than so many; the rows with the least hash."""
+    rows = scored.groupBy("s1").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than).select("s1")
+    best = Window.partitionBy("s1").orderBy(F.desc("w"), "tgt")
+    return scored.join(F.broadcast(sampled(rows, n, "s1")), "s1").withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
+
+
 def weight_by_label(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.avg("w").alias("mean_w"), F.percentile("w", F.lit(0.5)).alias("median_w"))
 
 
 def degrees(gt: DataFrame, s1: DataFrame) -> DataFrame:
-    """(country, entities, with_match, mean_degree, max_degree) of true matches."""
+    """(country, entities, with_match, mean_, std_, p25_, p50_, p75_ and max_degree) of true matches."""
     d = gt.groupBy("s1").agg(F.count(F.lit(1)).alias("d"))
     all_ = s1.select(F.col("rid").alias("s1"), "country").join(d, "s1", "left").withColumn("d", F.coalesce("d", F.lit(0)))
-    return all_.groupBy("country").agg(F.count(F.lit(1)).alias("entities"), F.sum((F.col("d") > 0).cast("long")).alias("with_match"), F.avg("d").alias("mean_degree"), F.max("d").alias("max_degree"))
+    return all_.groupBy("country").agg(F.count(F.lit(1)).alias("entities"), F.sum((F.col("d") > 0).cast("long")).alias("with_match"), F.avg("d").alias("mean_degree"), F.stddev_samp("d").alias("std_degree"), *[F.percentile("d", F.lit(q)).alias(f"p{round(100 * q)}_degree") for q in (0.25, 0.5, 0.75)], F.max("d").alias("max_degree"))
 
 
 def duplicate_ratio(normal: DataFrame, column: str = "name") -> DataFrame:

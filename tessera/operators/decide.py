@@ -29,10 +29,30 @@ def id_lists(pairs: DataFrame, s1: DataFrame, targets: DataFrame, column: str =
 
 
 def write_lists(lists: DataFrame, path: str, header: tuple[str, str] = MATCH_HEADER) -> None:
-    """One tab-separated text file in the order of the query rows, with a header."""
-    body = lists.select(F.col("rid"), F.concat_ws("\t", *[F.col(c) for c in lists.columns[1:3]]).alias("value"))
-    head = lists.sparkSession.range(1).select(F.lit(-1).cast("long").alias("rid"), F.lit("\t".join(header)).alias("value"))
-    head.unionByName(body).orderBy("rid").coalesce(1).select("value").write.mode("overwrite").text(path)
+    """One tab-separated text file in the order of the query rows, with a header.
+
+    Rows are range-partitioned and written in parallel; the parts are then joined in order, byte for byte, by the file system's client.
+    """
+    spark = lists.sparkSession
+    parts = f"{path}.parts"
+    line = F.concat_ws("\t", *[F.col(c) for c in lists.columns[1:3]]).alias("value")
+    lists.select("rid", line).orderBy("rid").select("value").write.mode("overwrite").text(parts)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    if fs.exists(target):
+        fs.delete(target, True)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(("\t".join(header) + "\n").encode()))
+        names = sorted(x.getPath().toString() for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-"))
+        for name in names:
+            part = fs.open(jvm.org.apache.hadoop.fs.Path(name))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            part.close()
+    finally:
+        out.close()
+    fs.delete(folder, True)
 
 
 def write_candidates(lists: DataFrame, path: str) -> None:

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from tessera.operators.features import FEATURES
 
+#: 63 splits at most a tree, and rows that a leaf needs. Each round is some passes over the rows here, so there are fewer of them.
+ROUNDS, DEPTH, LEAST = 40, 6, 100
 
-def train(rows: DataFrame, rounds: int = 40, rate: float = 0.08, depth: int = 5, least: int = 1, weight: str | None = None, seed: int = 42) -> PipelineModel:
+
+def train(rows: DataFrame, rounds: int = ROUNDS, rate: float = 0.08, depth: int = DEPTH, least: int = LEAST, weight: str | None = None, seed: int = 42) -> PipelineModel:
     """rows: features and y; ``weight`` names a column of row weights."""
     gbt = GBTClassifier(labelCol="y", featuresCol="features", maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=0.9, featureSubsetStrategy="0.9", minInstancesPerNode=least, seed=seed)
     if weight:

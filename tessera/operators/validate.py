@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import argparse
+import sys
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,8 +73,7 @@ def _readable(spark: SparkSession, path: str, header: tuple[str, str], name: str
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(fs_path):
         return [(f"{name}: no file", "error", 1, [path])], None
-    bytes_ = spark.read.format("binaryFile").load(path).select(F.expr("try_validate_utf8(content) is null").alias("bad"), "length") if not fs.getFileStatus(fs_path).isDirectory() else None
-    if bytes_ is not None and bytes_.where("bad").limit(1).count():
+    if spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count():
         return [(f"{name}: not UTF-8", "error", 1, [path])], None
     lines = read_lines(spark, path)
     first = lines.where("line_no = 0").first()
@@ -110,5 +113,30 @@ def validate(spark: SparkSession, matches: str, candidates: str | None, sources:
     return found
 
 
+def main(arguments: list[str] | None = None) -> int:
+    """The check as a command; the exit code is 0 if nothing stands against the files."""
+    p = argparse.ArgumentParser(description="Checks result files against the source files.")
+    p.add_argument("-m", "--matching", default="output/matching_results.tsv")
+    p.add_argument("-c", "--candidate", default="output/candidate_pairs.tsv")
+    p.add_argument("-t", "--test-dir", default="student_resource/dataset/test", help="folder of test_source1.tsv to test_source3.tsv")
+    p.add_argument("--check-ids", action="store_true", help="listed ids must exist in the target sources")
+    a = p.parse_args(arguments)
+    spark = SparkSession.builder.getOrCreate()
+    try:
+        found = validate(spark, a.matching, a.candidate, [f"{a.test_dir}/test_source{k}.tsv" for k in (1, 2, 3)], a.check_ids).collect()
+    except AnalysisException as e:
+        print(f"FAIL: {e}")
+        return 1
+    for r in sorted(found, key=lambda r: (r["level"], r["rule"])):
+        print(f"{r['level']}: {r['rule']}: {r['n']} ({', '.join(map(str, r['examples']))})")
+    bad = any(r["level"] == "error" for r in found)
+    print("FAIL" if bad else "PASS")
+    return int(bad)
+
+
 def passed(violations: DataFrame) -> bool:
     return violations.where("level = 'error'").limit(1).count() == 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -31,32 +31,44 @@ def candidates(s1: DataFrame, targets: DataFrame, m: int = B.TOP_M, caps: dict[s
     return B.block(postings(s1), postings(targets), targets, m, caps)
 
 
-def resolve(spark: SparkSession, data: str, cache: str, out: str, limit: int | None = None, rounds: int = 40, rate: float = 0.08, k: int = D.TOP_K, force: bool = False) -> float:
-    """Trains on the ``train`` split, writes matching_results and candidate_pairs of the ``test`` split; returns the threshold."""
+def resolve(spark: SparkSession, data: str, cache: str, out: str, limit: int | None = None, rounds: int = M.ROUNDS, rate: float = 0.08, k: int = D.TOP_K, force: bool = False, depth: int = M.DEPTH, least: int = M.LEAST, skip_cv: bool = False) -> float:
+    """Trains on the ``train`` split, writes matching_results and candidate_pairs of the ``test`` split; returns the threshold.
+
+    ``skip_cv`` takes model and threshold of a former run in ``out`` instead of training.
+    """
     tables = {}
     for split in ("train", "test"):
         s1, tgt = load_split(spark, data, split, limit)
-        config = {"split": split, "limit": limit, "m": B.TOP_M, "caps": B.CAPS}
-        s1 = staged(lambda s1=s1: normalize(s1), spark, f"{cache}/{split}_s1", config, force)
-        tgt = staged(lambda tgt=tgt: normalize(tgt), spark, f"{cache}/{split}_tgt", config, force)
+        config = {"split": split, "limit": limit, "m": B.TOP_M, "caps": B.CAPS, "unicode": True}
+        s1 = staged(lambda s1=s1: normalize(s1, full_unicode=True), spark, f"{cache}/{split}_s1", config, force)
+        tgt = staged(lambda tgt=tgt: normalize(tgt, full_unicode=True), spark, f"{cache}/{split}_tgt", config, force)
         pairs = staged(lambda s1=s1, tgt=tgt: candidates(s1, tgt), spark, f"{cache}/{split}_pairs", config, force)
         feats = staged(lambda p=pairs, s1=s1, tgt=tgt: pair_features(p, s1, tgt), spark, f"{cache}/{split}_features", config, force)
         tables[split] = (s1, tgt, pairs, feats)
-    s1, tgt, pairs, feats = tables["train"]
+    if skip_cv:
+        final, threshold = M.load(spark, f"{out}/model")
+        if threshold is None:
+            raise ValueError(f"no threshold in {out}/model")
+    else:
+        final, threshold = fitted(spark, *tables["train"][:2], tables["train"][3], data, rounds, rate, depth, least)
+        M.save(final, f"{out}/model", threshold)
+    s1, tgt, pairs, feats = tables["test"]
+    matches = D.decide(M.predict(final, feats), threshold, k)
+    D.write_lists(D.id_lists(matches, s1, tgt), f"{out}/matching_results.tsv")
+    D.write_candidates(D.id_lists(pairs, s1, tgt, "candidate_entity_ids"), f"{out}/candidate_pairs.tsv")
+    return threshold
+
+
+def fitted(spark: SparkSession, s1: DataFrame, tgt: DataFrame, feats: DataFrame, data: str, rounds: int, rate: float, depth: int, least: int):
+    """(model of all rows, threshold): the threshold is the best on one query entity in twenty, by a model that has not seen them."""
     gt = E.ground_truth(read_ground_truth(spark, f"{data}/train_ground_truth.tsv"), s1, tgt)
     rows = E.holdout(E.labelled(feats, gt))
     sample = E.subsample(rows, exact=False)
-    first = M.train(sample.where("fold <> 0"), rounds, rate)
+    first = M.train(sample.where("fold <> 0"), rounds, rate, depth, least)
     held = M.predict(first, rows.where("fold = 0")).join(rows.select("s1", "tgt", "y"), ["s1", "tgt"])
     entities = E.holdout(s1.select(F.col("rid").alias("s1"))).where("fold = 0").select(F.col("s1").alias("rid"))
     best = E.best_threshold(E.threshold_curve(held, gt.join(entities, gt["s1"] == entities["rid"], "left_semi"), entities)).first()
-    final = M.train(sample, rounds, rate)
-    M.save(final, f"{out}/model", best["t"])
-    s1, tgt, pairs, feats = tables["test"]
-    matches = D.decide(M.predict(final, feats), best["t"], k)
-    D.write_lists(D.id_lists(matches, s1, tgt), f"{out}/matching_results.tsv")
-    D.write_candidates(D.id_lists(pairs, s1, tgt, "candidate_entity_ids"), f"{out}/candidate_pairs.tsv")
-    return best["t"]
+    return M.train(sample, rounds, rate, depth, least), best["t"]
 
 
 def main() -> None:
@@ -64,13 +76,16 @@ def main() -> None:
     for name in ("data", "cache", "out"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--limit", type=int)
-    p.add_argument("--rounds", type=int, default=40)
+    p.add_argument("--rounds", type=int, default=M.ROUNDS)
+    p.add_argument("--depth", type=int, default=M.DEPTH)
+    p.add_argument("--min-leaf", type=int, default=M.LEAST)
+    p.add_argument("--skip-cv", action="store_true", help="take model and threshold of a former run")
     p.add_argument("--lr", type=float, default=0.08)
     p.add_argument("--topk", type=int, default=D.TOP_K)
     p.add_argument("--force", action="store_true")
     a = p.parse_args()
     spark = SparkSession.builder.appName("resolution").getOrCreate()
-    print(resolve(spark, a.data, a.cache, a.out, a.limit, a.rounds, a.lr, a.topk, a.force))
+    print(resolve(spark, a.data, a.cache, a.out, a.limit, a.rounds, a.lr, a.topk, a.force, a.depth, a.min_leaf, a.skip_cv))
 
 
 if __name__ == "__main__":

@@ -6,9 +6,9 @@ An entity is (rid, src, is_s3, entity_id, business_name, business_address, count
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.schema import ENTITY_COLUMNS
 
@@ -17,9 +17,16 @@ NA_STRINGS = ("", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None", "<NA
 
 
 def numbered(df: DataFrame, column: str = "rid") -> DataFrame:
-    """Row numbers in file order: partition sizes first, then positions within each."""
-    schema = StructType([*df.schema.fields, StructField(column, LongType())])
-    return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), schema)
+    """Row numbers in file order, for rows read straight from files: how many rows each split of a file holds, then places within it.
+
+    The table of splits is all that is ordered; rows stay where they are read.
+    """
+    file, start, at = "_split_file", "_split_start", "_split_at"
+    rows = df.withColumns({file: F.input_file_name(), start: F.input_file_block_start(), at: F.monotonically_increasing_id()})
+    splits = rows.groupBy(file, start).agg(F.count(F.lit(1)).alias("_split_rows"), F.min(at).alias("_split_first"))
+    before = F.coalesce(F.sum("_split_rows").over(Window.orderBy(file, start).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select(file, start, (before - F.col("_split_first")).alias("_split_more"))
+    return rows.join(splits, [file, start]).select(*df.columns, (F.col(at) + F.col("_split_more")).alias(column))
 
 
 def read_tsv(spark: SparkSession, path: str, limit: int | None = None, na_strings: tuple[str, ...] = NA_STRINGS, quote: str = "") -> DataFrame:
@@ -28,8 +35,7 @@ def read_tsv(spark: SparkSession, path: str, limit: int | None = None, na_string
     schema = StructType([StructField(c, StringType()) for c in header])
     raw = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", quote).option("enforceSchema", True).csv(path)
     value = lambda c: F.when(F.col(c).isin(*na_strings), "").otherwise(F.coalesce(F.col(c), F.lit("")))
-    df = raw.select(*[value(c).alias(c) if c in header else F.lit("").alias(c) for c in ENTITY_COLUMNS])
-    df = numbered(df)
+    df = numbered(raw).select("rid", *[value(c).alias(c) if c in header else F.lit("").alias(c) for c in ENTITY_COLUMNS])
     return df.where(F.col("rid") < limit) if limit is not None else df
 
 
