@@ -118,10 +118,16 @@ def top_m_by_weight(scored: DataFrame, m: int = TOP_M) -> DataFrame:
 
 
 def block(query_postings: DataFrame, target_postings: DataFrame, targets: DataFrame | int, m: int = TOP_M, caps: dict[str, int] | None = None) -> DataFrame:
-    """Candidates (s1, tgt): exact-family pairs, and the top m by summed IDF."""
+    """Candidates (s1, tgt): exact-family pairs, and the top m by summed IDF.
+
+    One probe and one aggregation for each pair tell both; a row's pairs are ranked as in ``top_m``, those without a token key last.
+    """
     stats = with_idf(capped(key_df(target_postings), caps), targets)
-    probed = probe(query_postings, index(target_postings, stats))
-    return exact_pairs(probed).union(top_m(token_scores(probed), m).select("s1", "tgt")).distinct()
+    exact = F.col("key_type").isin(*EXACT_TYPES)
+    pairs = probe(query_postings, index(target_postings, stats)).groupBy("s1", "tgt").agg(F.max(exact).alias("exact"), F.sum(F.when(~exact, F.col("idf"))).alias("w"))
+    best = Window.partitionBy("s1").orderBy(F.desc_nulls_last("q"), "tgt")
+    ranked = pairs.withColumn("q", quantized(F.col("w"))).withColumn("rn", F.row_number().over(best))
+    return ranked.where(F.col("exact") | (F.col("w").isNotNull() & (F.col("rn") <= m))).select("s1", "tgt")
 
 
 def block_unscored(query_postings: DataFrame, target_postings: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:

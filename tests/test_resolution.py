@@ -229,3 +229,22 @@ def test_whole_resolution(spark, tmp_path):
     assert len(lines) == 61
     assert sum(set(x.split("\t")[1].split(",")) >= {f"S2-{i}", f"S3-{i}"} for i, x in enumerate(lines[1:])) >= 55
     assert resolve(spark, *out, skip_cv=True) == t
+
+
+def test_one_aggregation_gives_the_union(spark):
+    n = K.normalize(entities(spark, ROWS + [(i, i % 3, False, f"S{i % 3 + 1}-{i}", f"alpha works {'ltd' if i % 2 else 'tools'} {i % 5}", f"{i % 4} main street", "US") for i in range(10, 60)]))
+    s1, tgt = n.where("src = 0"), n.where("src > 0")
+    q, t = K.postings(s1), K.postings(tgt)
+    probed = B.probe(q, B.index(t, B.with_idf(B.capped(B.key_df(t)), tgt)))
+    for m in (1, 3, 40):
+        want = B.exact_pairs(probed).union(B.top_m(B.token_scores(probed), m).select("s1", "tgt")).distinct()
+        assert sorted(map(tuple, B.block(q, t, tgt, m).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_package_can_be_shipped():
+    import zipfile
+
+    from tessera.session import packed
+
+    names = zipfile.ZipFile(packed()).namelist()
+    assert "tessera/session.py" in names and all(n.endswith(".py") for n in names)
