@@ -8,9 +8,9 @@ for each integer boundary that its stretch of the sum crosses. Copies of a docum
 therefore the expected copies rounded up or down, and never more than ``cap``.
 
 Defined results: a null text has size 0; a null source is a source of its own, the last;
-repeated rows are documents of their own; an empty table gives an empty result; a source
-without words has target 0 and takes nothing. Extra columns are dropped by ``mix`` and
-kept by ``mixed_documents``.
+repeated rows, and rows without an id, are documents of their own; an empty table gives an empty result;
+a source without words has target 0 and takes nothing. Extra columns are dropped by ``mix`` and
+kept by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,8 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import textbatch as tb
+from tessera.llm.storage import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
-#: Groups that documents of one source and size are dealt to; no window holds more than its share.
+#: Documents of one source and size are ordered by doc_id modulo this first, so that neighbours in the table are not neighbours here.
 SALTS = 64
 CAP = 3.0
 #: Share of its source's target above which a document is rounded first.
@@ -60,67 +63,67 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float
     return t.withColumn("level", level).select("source", "source_size", F.coalesce(F.least("most", F.col("w") * F.col("level")), F.col("most")).alias("target"))
 
 
-def _places(sized: DataFrame) -> DataFrame:
-    """Adds ``ahead``: how many rows of the row's source and tier come before it, by size, salt, doc_id and tie.
+def _numbered(sized: DataFrame) -> DataFrame:
+    """Adds ``ahead``: how many rows of the row's source come before it, by size, salt, doc_id and tie.
 
-    Counts of (source, tier, size, salt) are summed along the source; rows are numbered only within such a group.
+    The rows are range-partitioned by that order and numbered within their partition as they are stored; what partitions hold of each
+    source is summed along the partitions. So no window holds more than one number for each partition and source, whatever
+    the sizes and sources are; rows that are alike in everything are dealt over partitions by the place they are stored at.
     """
-    key = ["source", "big", "size", "salt"]
-    sized = sized.withColumn("salt", F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(SALTS)))
-    along = Window.partitionBy("source", "big").orderBy("size", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    groups = sized.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    groups = groups.select(*[F.col(c).alias(f"g_{c}") for c in key], F.coalesce(F.sum("n").over(along), F.lit(0)).alias("g_ahead"))
-    place = Window.partitionBy(*key).orderBy("doc_id", "tie")
-    rows = sized.withColumn("place", F.row_number().over(place))
-    same = rows["source"].eqNullSafe(F.col("g_source"))
-    for c in key[1:]:
-        same = same & (rows[c] == F.col(f"g_{c}"))
-    rows = rows.join(groups, same).withColumn("ahead", F.col("g_ahead") + F.col("place") - 1)
-    return rows.drop(*[f"g_{c}" for c in key], "g_ahead", "place", "salt")
-
-
-def _crossed(rows: DataFrame, each: Column, seed: int) -> DataFrame:
-    """Adds copies: the integer boundaries crossed between ``ahead`` and ``ahead + 1`` expected copies, offset added."""
+    order = [F.col("source").asc_nulls_last(), "size", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)), "doc_id", "tie", "stand"]
+    sized = sized.withColumn("stand", F.monotonically_increasing_id())
+    dealt = sized.repartitionByRange(*order).sortWithinPartitions(*order).drop("stand", "tie")
+    # the id counts the rows of a partition in its lower 33 bits
+    rows = stored(dealt.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")), "mix-order")
+    parts = rows.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    along = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("source").alias("p_source"), F.col("part").alias("p_part"), (F.coalesce(F.sum("n").over(along), F.lit(0)) - F.col("first")).alias("p_more"))
+    rows = rows.join(parts, rows["source"].eqNullSafe(parts["p_source"]) & (rows["part"] == parts["p_part"]))
+    return rows.withColumn("ahead", F.col("at") + F.col("p_more")).drop("p_source", "p_part", "p_more", "part", "at")
+
+
+def _crossed(ahead: Column, each: Column, seed: int) -> Column:
+    """The integer boundaries crossed between ``ahead`` and ``ahead + 1`` expected copies, offset added."""
     u = offset(F.col("source"), seed)
-    return rows.withColumn("copies", (F.floor(u + (F.col("ahead") + 1) * each) - F.floor(u + F.col("ahead") * each)).cast("long"))
-
+    return (F.floor(u + (ahead + 1) * each) - F.floor(u + ahead * each)).cast("long")
 
-def _sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("size", word_count(F.col("text"))).withColumn("tie", F.xxhash64("text"))
 
-
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = CAP, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = CAP, seed: int = 0, row: str | None = None) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) for every row of (doc_id, text, source).
 
-    Documents above ``BIG`` of their source's target go first, as rounding one of them weighs most; what they
-    take of the target is counted, and the others' expected copies share what is left.
+    Documents above ``BIG`` of their source's target are rounded first, as rounding one of them weighs most; what they take
+    of the target is counted, and the others' expected copies share what is left. ``row`` names a column of docs that is kept.
     """
-    from tessera.llm.storage import stored
-
-    sized = stored(_sized(docs.select("doc_id", "text", "source")).drop("text"), "mix")
-    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
-    goal = goal.withColumnRenamed("source", "t_source")
-    rows = sized.join(goal, sized["source"].eqNullSafe(goal["t_source"])).drop("t_source")
-    rows = _places(rows.withColumn("big", F.col("size") > F.lit(BIG) * F.col("target")))
+    own = [F.col(row).alias("row")] if row else []
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"), *own)
+    # counting the words is the costly part; the splitters of the order would have it done twice
+    sized = stored(sized, "mix")
+    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).withColumnRenamed("source", "t_source")
+    rows = _numbered(sized)
+    rows = rows.join(goal, rows["source"].eqNullSafe(goal["t_source"])).drop("t_source")
+    # the documents of a source that are rounded first are the last ones of its order
+    rows = rows.withColumn("big", F.col("size") > F.lit(BIG) * F.col("target"))
+    small = rows.groupBy(F.col("source").alias("s_source")).agg(F.count(F.when(~F.col("big"), 1)).alias("s_small"))
+    rows = rows.join(small, rows["source"].eqNullSafe(small["s_source"])).drop("s_source")
     even = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(cap))).otherwise(F.lit(0.0))
-    big = _crossed(rows.where("big"), even, seed)
-    done = big.groupBy(F.col("source").alias("d_source")).agg(F.sum(F.col("copies") * F.col("size")).alias("d_taken"), F.sum("size").alias("d_size"))
-    small = rows.where("not big")
-    small = small.join(done, small["source"].eqNullSafe(done["d_source"]), "left")
+    rows = rows.withColumn("first", F.when(F.col("big"), _crossed(F.col("ahead") - F.col("s_small"), even, seed)))
+    done = rows.where("big").groupBy(F.col("source").alias("d_source")).agg(F.sum(F.col("first") * F.col("size")).alias("d_taken"), F.sum("size").alias("d_size"))
+    rows = rows.join(done, rows["source"].eqNullSafe(done["d_source"]), "left")
     rest = F.col("source_size") - F.coalesce(F.col("d_size"), F.lit(0))
     left = F.col("target") - F.coalesce(F.col("d_taken"), F.lit(0))
-    small = _crossed(small, F.when(rest > 0, F.least(F.greatest(left / rest, F.lit(0.0)), F.lit(cap))).otherwise(F.lit(0.0)), seed)
-    keep = ["doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
-    return big.select(*keep).unionByName(small.select(*keep))
-
-
-def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = CAP, seed: int = 0) -> DataFrame:
-    """The mix itself: every document once for each copy, with its columns and ``copy`` from 0."""
-    if len(set(docs.columns) & {"copies", "copy"}):
-        docs = docs.drop("copies", "copy")
-    plan = mix(docs, weights, cap, seed).where("copies > 0").groupBy(F.col("doc_id").alias("m_doc"), F.col("size").alias("m_size")).agg(F.collect_list("copies").alias("m_copies"))
-    place = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.withColumn("m_place", F.row_number().over(place)).withColumn("m_words", word_count(F.col("text")))
-    rows = rows.join(plan, (rows["doc_id"] == plan["m_doc"]) & (rows["m_words"] == plan["m_size"]))
-    n = F.element_at("m_copies", F.least(F.col("m_place"), F.size("m_copies")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).drop("m_doc", "m_size", "m_copies", "m_place", "m_words")
+    share = F.when(rest > 0, F.least(F.greatest(left / rest, F.lit(0.0)), F.lit(cap))).otherwise(F.lit(0.0))
+    rows = rows.withColumn("copies", F.coalesce("first", _crossed(F.col("ahead"), share, seed)))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["row"] if row else []))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = CAP, seed: int = 0, name: str = "copy") -> DataFrame:
+    """The mix itself: every document once for each copy, with its columns and the number of the copy from 0.
+
+    The number's column is ``name``, with an underscore added for as long as docs has such a column. Rows are stored with a number of
+    their own, so those without an id or that repeat each have their own copies.
+    """
+    row, copies, number = (tb.fresh(docs, x) for x in ("mix_row", "mix_copies", name))
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    plan = mix(kept, weights, cap, seed, row).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copies))
+    out = kept.join(plan, row).withColumn(number, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)))
+    return out.drop(row, copies)
