@@ -2,7 +2,7 @@
 
 Each element is a node with two states, content and boilerplate. Its own potential sums the weights of its features
 (tag, words of class, id and role, link density, text length), and each edge has a 2x2 potential chosen by
-the kind of the child (block, inline, other). Sum-product messages run from the leaves to the root and back
+the kind of the child (block or inline). An inline element whose names tell nothing shares the state of the element around it. Sum-product messages run from the leaves to the root and back
 and give every node's marginal. Weights are trained by gradient ascent on the likelihood of the labelled pages in
 ``LABELLED`` (small pages written for this, ``data-y="1"`` on the roots of content and ``data-y="0"`` on the roots of boilerplate).
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +28,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 #: Elements by kind, from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea select object canvas title xmp noembed noframes".split())
+RAW = frozenset("script style template iframe svg textarea select title xmp noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul option button".split()
 )
 #: An opening tag of the first kind ends an open element of the second (up to the third).
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 SAME = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"})}
-HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: An end tag reaches out of a table's cells only if it is one of the second kind; an open p ends within the third.
+CELLS = ("table", "td", "th")
+ENDS_CELLS = frozenset("table tr tbody thead tfoot div article main section body html aside footer nav".split())
+HOLDS_P = ("table", "td", "th", "div", "article", "section", "button", "li", "blockquote")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(/?)>", re.S)
@@ -64,9 +68,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, Node, bool]]]:
     """(nodes, parents first; pieces (place, node, starts a block) in page order)."""
     root = Node("#root", None)
     nodes, stack = [root], [root]
+    open_at: dict[str, list[int]] = {}  # places in the stack of the open elements of each name, so that nothing walks the stack
     pieces: list[tuple[int, Node, bool]] = []
     at, place, broken = 0, 0, True
-    size = len(page)
+    size, tags_end = len(page), page.rfind(">")
 
     def put(text: str) -> None:
         nonlocal place, broken
@@ -82,16 +87,21 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, Node, bool]]]:
 
     def close(k: int) -> None:
         nonlocal broken
-        if any(n.tag in BLOCK for n in stack[k:]):
-            broken = True
-        del stack[k:]
+        while len(stack) > k:
+            name = stack.pop().tag
+            open_at[name].pop()
+            broken = broken or name in BLOCK
+
+    def last(names) -> int:
+        """Place of the innermost open element of one of these names; 0 if none is open."""
+        return max((open_at[n][-1] for n in names if open_at.get(n)), default=0)
 
     while at < size:
         lt = page.find("<", at)
         if lt < 0:
             put(page[at:])
             break
-        m = _TOKEN.match(page, lt) or _LOOSE.match(page, lt)
+        m = (_TOKEN.match(page, lt) or _LOOSE.match(page, lt)) if lt < tags_end else None
         if m is None:
             if lt + 1 < size and (page[lt + 1].isalpha() or page[lt + 1] in "/!?"):
                 put(page[at:lt])  # cut off within a tag
@@ -106,15 +116,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, Node, bool]]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-                if stack[k].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "div", "article", "main", "section", "body", "html", "aside", "footer", "nav"):
-                    break
-            else:
-                if tag == "p":
-                    broken = True
+            k = last((tag,))
+            if k and (k >= last(CELLS) or tag in ENDS_CELLS):
+                close(k)
+            elif tag == "p":
+                broken = True
             continue
         if tag == "br":
             if not broken and pieces:
@@ -126,30 +132,18 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, Node, bool]]]:
             if tag == "hr":
                 broken = True
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and open_at.get(tag):
             continue
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag in ("table", "td", "th", "div", "article", "section", "button", "li", "blockquote"):
-                    break
+        if tag in CLOSES_P and last(("p",)) > last(HOLDS_P):
+            close(last(("p",)))
         if tag in SAME:
             ends, stops = SAME[tag]
-            deepest = None
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in stops:
-                    break
-                if stack[k].tag in ends:
-                    deepest = k
-            if deepest is not None:
-                close(deepest)
-        if tag == "body":
-            for k in range(1, len(stack)):
-                if stack[k].tag == "head":
-                    close(k)
-                    break
+            inside = last(stops)
+            found = [where[k] for n in ends if (where := open_at.get(n)) and (k := bisect_right(where, inside)) < len(where)]
+            if found:
+                close(min(found))
+        if tag == "body" and open_at.get("head"):
+            close(open_at["head"][0])
         node = Node(tag, stack[-1], m[3])
         stack[-1].children.append(node)
         nodes.append(node)
@@ -160,6 +154,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, Node, bool]]]:
             at = end.end() if end else size
             continue
         if not m[4]:
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append(node)
     return nodes, pieces
 
@@ -171,6 +166,19 @@ def _measure(nodes: list[Node]) -> None:
         n.linked = n.total if n.tag == "a" else sum(c.linked for c in n.children)
 
 
+def _names(n: Node) -> list[str]:
+    """Features of what an element is called, and whether it is hidden."""
+    out: list[str] = []
+    if n.attrs:
+        found = attributes(n.attrs)
+        for key in ("class", "id", "role", "itemprop", "aria-label"):
+            if found.get(key):
+                out += [f"name:{w}" for w in _NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found[key]).lower())]
+        if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
+            out.append("hidden")
+    return out
+
+
 def _features(n: Node) -> list[str]:
     out = ["bias", f"tag:{n.tag}"]
     if n.tag == "p":
@@ -180,14 +188,25 @@ def _features(n: Node) -> list[str]:
     if n.tag in BLOCK and n.total:
         share = n.linked / n.total
         out.append("links:most" if share > 0.6 else "links:some" if share > 0.2 else "links:few")
-    if n.attrs:
-        found = attributes(n.attrs)
-        for key in ("class", "id", "role", "itemprop", "aria-label"):
-            if found.get(key):
-                out += [f"name:{w}" for w in _NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found[key]).lower())]
-        if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-            out.append("hidden")
-    return out
+    return out + _names(n)
+
+
+def contract(nodes: list[Node], known: set[str]) -> tuple[list[Node], dict[int, Node]]:
+    """(nodes of the model, parents first; node that decides for each element, by id).
+
+    An inline element whose names tell nothing is no variable of its own: it shares the state of the element around it, however
+    many of them are nested. Call it after ``_measure``.
+    """
+    kept, owner = [], {}
+    for n in nodes:
+        if n.parent is not None and n.tag not in BLOCK and not (n.attrs and any(x in known for x in _names(n))):
+            owner[id(n)] = owner[id(n.parent)]
+            continue
+        owner[id(n)] = n
+        if n.parent is not None:
+            n.parent = owner[id(n.parent)]
+        kept.append(n)
+    return kept, owner
 
 
 def _edge_kind(n: Node) -> int:
@@ -197,6 +216,7 @@ def _edge_kind(n: Node) -> int:
 class Model:
     def __init__(self) -> None:
         self.weights: dict[str, float] = {}
+        self.known: set[str] = {"hidden"}  # names that training pages use
         self.edges = np.zeros((2, 2, 2))  # kind, parent state, child state
 
     def potentials(self, nodes: list[Node]) -> np.ndarray:
@@ -255,19 +275,24 @@ def _labels(nodes: list[Node]) -> np.ndarray:
     # an element around content and boilerplate alike is open: content if any child of it is
     y = np.array(out)
     index = {id(n): k for k, n in enumerate(nodes)}
-    for k in range(len(nodes) - 1, -1, -1):
-        if y[k] == 2:
-            y[k] = int(any(y[index[id(c)]] == 1 for c in nodes[k].children))
-    return y
+    for k in range(len(nodes) - 1, 0, -1):
+        up = index[id(nodes[k].parent)]
+        if y[up] == 2 and y[k] == 1:
+            y[up] = 3
+        if y[k] == 3 and y[up] == 2:
+            y[up] = 3
+    return np.where(y == 2, 0, np.minimum(y, 1))
 
 
 def train(pages: list[str], rounds: int = 120, rate: float = 0.5) -> Model:
     model = Model()
     data = []
-    for page in pages:
-        nodes, _ = parse(page)
+    trees = [parse(page)[0] for page in pages]
+    model.known.update(f for nodes in trees for n in nodes for f in _names(n))
+    for nodes in trees:
         _measure(nodes)
-        feats = [[f for f in _features(n) if f != "name:data"] for n in nodes]
+        nodes, _ = contract(nodes, model.known)
+        feats = [_features(n) for n in nodes]
         data.append((nodes, feats, _labels(nodes), np.array([_edge_kind(n) for n in nodes])))
     index = {id(n): k for nodes, *_ in data for k, n in enumerate(nodes)}
     sq: dict[str, float] = {}
@@ -300,8 +325,9 @@ def extract(page: str | None, model: Model) -> str:
     if not pieces:
         return ""
     _measure(nodes)
-    p, _ = model.marginals(nodes)
-    keep = {id(n): x >= 0.5 for n, x in zip(nodes, p.tolist(), strict=True)}
+    variables, owner = contract(nodes, model.known)
+    p, _ = model.marginals(variables)
+    keep = {id(n): x >= 0.5 for n, x in zip(variables, p.tolist(), strict=True)}
     texts: dict[int, str] = {}
     for n in {id(n): n for _, n, _ in pieces}.values():
         for place, t in n.text:
@@ -310,7 +336,7 @@ def extract(page: str | None, model: Model) -> str:
     for place, n, starts in pieces:
         if starts or not blocks:
             blocks.append([])
-        if keep[id(n)]:
+        if keep[id(owner[id(n)])]:
             blocks[-1].append(texts[place])
     out = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
     return "\n\n".join(t for t in out if t)
