@@ -4,27 +4,36 @@ A turn is written as ``### role: text</turn>`` and a line feed. Inside roles and
 backslash and before ``### `` and ``</turn>`` (in roles also before ``:``), so that any text, control strings and
 escapes included, is read back as it was.
 
+A turn is tokenized in three parts, what comes before its text, the text and what comes after, so that the loss mask falls between tokens.
+
 Conversations are sorted by the digests of their prefixes, which puts those with the same first turns side by side. A task
 walks its range in that order, depth first, and keeps the path of the last conversation: turns
-shared with it are not emitted again. Emitted turns go into packs of about ``PACK_CHARS`` characters; a pack
-starts with an empty path. Each turn in a pack has its stretch [start, end), the position id of its first character (as many
-characters as its ancestors have), the stretches of its ancestors, which are the only others that it may attend to,
+shared with it are not emitted again. Emitted turns go into packs of about ``PACK_TOKENS`` added tokens or 4,096 conversations; a pack
+starts with an empty path, so what the conversations of several packs share is emitted once in each. Each turn in a pack has its stretch of
+tokens [start, end), the position id of its first token (as many tokens as its ancestors have; the others follow one by one), the stretches
+of its ancestors, which are the only others that it may attend to,
 and its loss stretches: the texts of assistant turns. A range is split at any conversation, so
 conversations that share a first turn, or are equal, never have to meet in one task.
 
 Turns of a conversation are ordered by turn (null first), then role and text; repeated rows are turns of their own. Null roles
-and texts are empty. Rows without conv_id form a conversation. An empty table gives an empty result; extra columns are dropped.
+and texts are empty. Of rows without conv_id nothing says which belong together: each is a conversation of its own. One conversation is
+held whole. An empty table gives an empty result; extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PACK_CHARS = 1 << 18
+from tessera.llm import textbatch as tb
+from tessera.llm.token_scan import TOKENIZER, shipped, shipped_encoder
+
+PACK_TOKENS = 1 << 16
 MARK, END, LOSS_ROLE = "### ", "</turn>", "assistant"
 
 _TEXT = re.compile(r"\\|### |</turn>")
@@ -40,11 +49,9 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\|### |</turn>|:)", lambda m: m[1], text, flags=re.S)
 
 
-def format_turn(role: str, text: str) -> tuple[str, int, int]:
-    """The formatted turn, and where its text starts and ends."""
-    head = f"{MARK}{_ROLE.sub(lambda m: chr(92) + m[0], role)}: "
-    body = escape(text)
-    return f"{head}{body}{END}\n", len(head), len(head) + len(body)
+def turn_parts(role: str, text: str) -> tuple[str, str, str]:
+    """The formatted turn: what comes before its text, the text, and what comes after."""
+    return f"{MARK}{_ROLE.sub(lambda m: chr(92) + m[0], role)}: ", escape(text), f"{END}\n"
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
@@ -69,33 +76,48 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 _NODE = "struct<parent: int, start: long, end: long, position: long, ancestors: array<struct<start: long, end: long>>, loss: array<struct<start: long, end: long>>>"
-PACK_SCHEMA = f"pack string, text string, turns array<{_NODE}>, conversations array<struct<conv_id: long, last: int>>"
+PACK_SCHEMA = f"pack string, tokens array<int>, turns array<{_NODE}>, conversations array<struct<conv_id: long, last: int>>"
 
 
 def _span(n):
     return [{"start": a, "end": b} for a, b in n]
 
 
-def _packer(pack_chars: int):
+def _packer(pack_tokens: int, vocabulary: str):
     stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     node = pa.struct([("parent", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("position", pa.int64()), ("ancestors", stretch), ("loss", stretch)])
-    schema = pa.schema([("pack", pa.string()), ("text", pa.string()), ("turns", pa.list_(node)), ("conversations", pa.list_(pa.struct([("conv_id", pa.int64()), ("last", pa.int32())])))])
+    schema = pa.schema([("pack", pa.string()), ("tokens", pa.list_(pa.int32())), ("turns", pa.list_(node)), ("conversations", pa.list_(pa.struct([("conv_id", pa.int64()), ("last", pa.int32())])))])
 
     def each(batches):
         from pyspark import TaskContext
 
-        part, made = TaskContext.get().partitionId(), 0
-        text: list[str] = []
+        part, made, code = TaskContext.get().partitionId(), 0, None
+        tokens: list[np.ndarray] = []
         turns: list[dict] = []
         convs: list[dict] = []
         size = fresh = 0  # fresh: without what the conversation before has too, so that a long shared start does not fill a pack
         before: list[tuple[str, str]] = []
         path: list[tuple[tuple[str, str], int]] = []
+        frames: dict[str, np.ndarray] = {}  # of the few roles, and of the end of a turn
+
+        def framed(text: str) -> np.ndarray:
+            if text not in frames:
+                if len(frames) > 1000:
+                    frames.clear()
+                frames[text] = encoded(text)
+            return frames[text]
+
+        def encoded(text: str) -> np.ndarray:
+            return code.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
 
         def closed():
-            return pa.RecordBatch.from_pylist([{"pack": f"{part:06d}-{made:06d}", "text": "".join(text), "turns": turns, "conversations": convs}], schema=schema)
+            flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
+            values = [pa.array([f"{part:06d}-{made:06d}"]), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat)), pa.array([turns], schema.field(2).type), pa.array([convs], schema.field(3).type)]
+            return pa.RecordBatch.from_arrays(values, schema=schema)
 
         for b in batches:
+            if b.num_rows and code is None:
+                code = shipped_encoder(vocabulary)
             for conv, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 own = [(t["role"], t["text"]) for t in own]
                 k = 0
@@ -107,7 +129,10 @@ def _packer(pack_chars: int):
                     shared += 1
                 before = own
                 for at, (role, words) in enumerate(own[k:], k):
-                    line, a, z = format_turn(role, words)
+                    head, body, tail = turn_parts(role, words)
+                    parts = [framed(head), encoded(body), framed(tail)]
+                    a, z = len(parts[0]), len(parts[0]) + len(parts[1])
+                    whole = z + len(parts[2])
                     above = path[-1][1] if path else -1
                     up = [] if above < 0 else [*turns[above]["ancestors"], {"start": turns[above]["start"], "end": turns[above]["end"]}]
                     if len(up) > 1 and up[-2]["end"] == up[-1]["start"]:  # neighbouring stretches are one
@@ -115,25 +140,26 @@ def _packer(pack_chars: int):
                     position = 0 if above < 0 else turns[above]["position"] + turns[above]["end"] - turns[above]["start"]
                     loss = _span([(size + a, size + z)]) if role == LOSS_ROLE else []
                     path.append(((role, words), len(turns)))
-                    turns.append({"parent": above, "start": size, "end": size + len(line), "position": position, "ancestors": up, "loss": loss})
-                    text.append(line)
-                    size += len(line)
-                    fresh += len(line) if at >= shared else 0
+                    turns.append({"parent": above, "start": size, "end": size + whole, "position": position, "ancestors": up, "loss": loss})
+                    tokens += parts
+                    size += whole
+                    fresh += whole if at >= shared else 0
                 convs.append({"conv_id": conv, "last": path[-1][1] if path else -1})
-                if fresh >= pack_chars or len(convs) >= 4096:
+                if fresh >= pack_tokens or len(convs) >= 4096:
                     yield closed()
                     made += 1
-                    text, turns, convs, size, fresh, path = [], [], [], 0, 0, []
+                    tokens, turns, convs, size, fresh, path = [], [], [], 0, 0, []
         if convs:
             yield closed()
 
     return each
 
 
-def pack_conversations(turns: DataFrame, pack_chars: int = PACK_CHARS) -> DataFrame:
-    """Packs (pack, text, turns, conversations) of rows (conv_id, turn, role, text); ``last`` is a conversation's last turn."""
+def pack_conversations(turns: DataFrame, pack_tokens: int = PACK_TOKENS, tokenizer: str = TOKENIZER) -> DataFrame:
+    """Packs (pack, tokens, turns, conversations) of rows (conv_id, turn, role, text); ``last`` is a conversation's last turn."""
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    convs = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("own"))
+    convs = turns.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("own"))
+    convs = convs.unionByName(turns.where(F.col("conv_id").isNull()).select("conv_id", F.array(row).alias("own")))
     # digest of each prefix: 8 hex digits of a running MD5 for each turn; equal prefixes sort together, parents first
     step = F.aggregate(
         "own",
@@ -144,7 +170,7 @@ def pack_conversations(turns: DataFrame, pack_chars: int = PACK_CHARS) -> DataFr
         ),
     )["all"]
     convs = convs.withColumn("path", step).repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id")
-    return convs.select("conv_id", "own").mapInArrow(_packer(pack_chars), PACK_SCHEMA)
+    return tb.small_batches(convs).select("conv_id", "own").mapInArrow(_packer(pack_tokens, shipped(turns.sparkSession, tokenizer)), PACK_SCHEMA)
 
 
 def _turn_stretches(turns: list[dict], last: int) -> list[int]:
@@ -157,20 +183,21 @@ def _turn_stretches(turns: list[dict], last: int) -> list[int]:
 
 
 def conversations(packs: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss): each conversation as a model sees it, its last turn and the stretches that it attends to.
+    """(conv_id, tokens, loss): each conversation as a model sees it, its last turn and the stretches that it attends to.
 
-    loss lists the stretches of ``formatted`` under the loss mask.
+    loss lists the stretches of ``tokens`` under the loss mask.
     """
-    schema = "conv_id long, formatted string, loss array<struct<start: long, end: long>>"
+    schema = "conv_id long, tokens array<int>, loss array<struct<start: long, end: long>>"
     stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def each(batches):
         for b in batches:
-            for p in b.to_pylist():
-                text, turns, out = p["text"], p["turns"], []
-                for c in p["conversations"]:
+            for i in range(b.num_rows):
+                flat = b.column(1)[i].values.to_numpy()
+                turns, out = b.column(2)[i].as_py(), []
+                for c in b.column(3)[i].as_py():
                     if c["last"] < 0:
-                        out.append((c["conv_id"], "", []))
+                        out.append((c["conv_id"], flat[:0], []))
                         continue
                     node = turns[c["last"]]
                     seen = [(s["start"], s["end"]) for s in node["ancestors"]] + [(node["start"], node["end"])]
@@ -178,32 +205,37 @@ def conversations(packs: DataFrame) -> DataFrame:
                     for k in _turn_stretches(turns, c["last"]):
                         t = turns[k]
                         loss += [(s["start"] - t["start"] + t["position"], s["end"] - t["start"] + t["position"]) for s in t["loss"]]
-                    out.append((c["conv_id"], "".join(text[a:z] for a, z in seen), _span(loss)))
+                    out.append((c["conv_id"], np.concatenate([flat[a:z] for a, z in seen]), _span(loss)))
                 for x in range(0, len(out), 512):
-                    ids, formatted, loss = zip(*out[x : x + 512], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(formatted, pa.string()), pa.array(loss, stretch)], names=["conv_id", "formatted", "loss"])
+                    ids, tokens, loss = zip(*out[x : x + 512], strict=True)
+                    edge = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(tokens), pa.int32())), pa.array(loss, stretch)], names=["conv_id", "tokens", "loss"])
 
     return packs.mapInArrow(each, schema)
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of conversations, parsed from (conv_id, formatted, loss)."""
-    import hashlib
-
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+def read_back(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """Digests of conversations, parsed from the text of (conv_id, tokens, loss)."""
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long"
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    vocabulary = shipped(formatted.sparkSession, tokenizer)
 
     def each(batches):
+        code = None
         for b in batches:
+            if b.num_rows and code is None:
+                code = shipped_encoder(vocabulary)
             rows = []
-            for r in b.to_pylist():
-                turns = parse(r["formatted"])
+            for i, conv in enumerate(b.column(0).to_pylist()):
+                tokens = b.column(1)[i].values.to_numpy()
+                whole = code.decode_bytes(tokens.tolist()).decode()
+                turns = parse(whole)
                 h = hashlib.sha256()
                 for role, text in turns:
-                    h.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                loss = "".join(unescape(r["formatted"][s["start"] : s["end"]]) for s in r["loss"])
-                rows.append((r["conv_id"], len(turns), h.hexdigest(), len(loss), hashlib.sha256(loss.encode("utf-8", "surrogatepass")).hexdigest(), len(r["formatted"])))
+                    h.update(f"{role}\n{text}\n".encode())
+                loss = "".join(unescape(code.decode_bytes(tokens[s["start"] : s["end"]].tolist()).decode()) for s in b.column(2)[i].as_py())
+                rows.append((conv, len(turns), h.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(whole), len(tokens)))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens"])
 
     return formatted.mapInArrow(each, schema)

@@ -80,13 +80,13 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = [(-7, 0, "user", HARD_TURN), (-7, 1, "assistant", HARD_TURN)]
     more = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(c).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text")) for c, t, r, x in hard])))
-    return chat_tree.read_back(chat_tree.conversations(chat_tree.pack_conversations(turns.unionByName(more))))
+    return chat_tree.read_back(chat_tree.conversations(chat_tree.pack_conversations(turns.unionByName(more)))).drop("n_tokens")
 
 
 OP8_SQL = """
 WITH rows AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok', NULL UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok', NULL),
 esc AS (
   SELECT *, length(replace(replace(replace(text, '\\', '\\\\'), '### ', '\\### '), '</turn>', '\\</turn>')) AS n_text,
     length(replace(replace(replace(replace(role, '\\', '\\\\'), '### ', '\\### '), '</turn>', '\\</turn>'), ':', '\\:')) AS n_role FROM rows)
@@ -95,7 +95,7 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
   CAST(sum(4 + n_role + 2 + n_text + 7 + 1) AS BIGINT) AS formatted_chars
-FROM esc GROUP BY conv_id
+FROM esc GROUP BY conv_id, own
 """
 
 

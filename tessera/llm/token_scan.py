@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import textbatch as tb
+from tessera.llm.storage import place
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pattern that splits text before the merges of these ranks.
@@ -31,21 +32,52 @@ GROUP = 1024
 _FIGURES = "file string, block long, n long, m long, head long, tail long, inner array<struct<at: long, n: long>>"
 
 
-def _encoder(path: str):
+def _ranks(path: str) -> dict[bytes, int]:
     import base64
 
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+def _encoder(path: str):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
+
+
+def shipped(spark: SparkSession, path: str) -> str:
+    """Ships a vocabulary from the driver with the job; its name on the workers."""
+    import os
+
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped_encoder(name: str):
+    from pyspark import SparkFiles
+
+    return _encoder(SparkFiles.get(name))
+
+
+def id_width(path: str, end: int) -> int:
+    """Bytes of an id of this vocabulary; the end-of-document id must be none of its tokens."""
+    ids = _ranks(path).values()
+    if end < 0 or end in ids:
+        raise ValueError(f"{end} is a token of the vocabulary and cannot end a document")
+    most = max(end, *ids)
+    if most >= 1 << 32:
+        raise ValueError("ids of more than 4 bytes")
+    return 2 if most < 1 << 16 else 4
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
     """Tokenizes (doc_id, text) into one flat stream for each task, kept as a table of blocks under ``path``.
 
-    Returns (file, block, data) and the list of documents written, (file, ordinal, doc_id).
+    Returns (file, block, data) and the list of documents written, (file, ordinal, doc_id). Ids take ``id_width`` bytes. The vocabulary is read
+    on the driver and shipped with the job; workers need no file of their own.
     """
+    kind = f"<u{id_width(tokenizer, end)}"
+    name = shipped(docs.sparkSession, tokenizer)
 
     def each(batches):
         from pyspark import TaskContext
@@ -61,14 +93,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
 
         for b in batches:
             if b.num_rows and code is None:
-                code = _encoder(tokenizer)
+                code = shipped_encoder(name)
             doc = b.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
             if b.num_rows:
                 yield row("doc", ordinal, doc.astype("<i8").tobytes())
                 ordinal += b.num_rows
             for text in b.column(1):
                 t = text.as_py()
-                ids = np.append(code.encode_to_numpy(t, disallowed_special=()), end).astype("<u2") if t else np.array([end], dtype="<u2")
+                ids = np.append(code.encode_to_numpy(t, disallowed_special=()), end).astype(kind) if t else np.array([end], dtype=kind)
                 held.append(ids)
                 size += len(ids)
                 if size >= block_tokens:
@@ -81,7 +113,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
         if size:
             yield row("tokens", block, np.concatenate(held).tobytes())
 
-    rows = docs.select("doc_id", "text").mapInArrow(each, "kind string, file string, at long, data binary")
+    rows = tb.small_batches(docs).select("doc_id", "text").mapInArrow(each, "kind string, file string, at long, data binary")
     rows.write.option("compression", "zstd").partitionBy("kind").parquet(path)
     spark = docs.sparkSession
     back = spark.read.schema("file string, at long, data binary, kind string").parquet(path)
@@ -124,17 +156,19 @@ def _figures(end: int, width: int):
 
     def each(batches):
         for b in batches:
-            out = [[] for _ in range(7)]
             data = b.column(b.schema.get_field_index("data"))
-            for k, (file, block) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+            figures, starts, sizes = [], [], []
+            for k in range(b.num_rows):
                 ids = np.frombuffer(data[k].as_buffer() if data[k].is_valid else b"", dtype=kind)
                 at = np.flatnonzero(ids == end)
                 n, m = len(ids), len(at)
-                docs = [{"at": x + 1, "n": y - x - 1} for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                for col, v in zip(out, (file, block, n, m, int(at[0]) if m else n, n - 1 - int(at[-1]) if m else n, docs), strict=True):
-                    col.append(v)
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), inner)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["file", "block", "n", "m", "head", "tail", "inner"])
+                figures.append((n, m, int(at[0]) if m else n, n - 1 - int(at[-1]) if m else n))
+                starts.append(at[:-1] + 1)
+                sizes.append(np.diff(at) - 1)
+            edge = np.concatenate([[0], np.cumsum([len(x) for x in starts])]).astype(np.int32)
+            docs = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x]), pa.int64()) for x in (starts, sizes)], fields=list(inner.value_type))
+            cols = [pa.array(np.array(figures, dtype=np.int64).reshape(-1, 4)[:, i]) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.ListArray.from_arrays(pa.array(edge), docs)], names=["file", "block", "n", "m", "head", "tail", "inner"])
 
     return each
 
@@ -170,10 +204,6 @@ def count_tokens(blocks: DataFrame, end: int = END, width: int = 2, group: int =
 
 def document_token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(doc_id, file, ordinal, n_tokens): documents are written to flat token files in the shared folder and counted from these."""
-    import uuid
-
-    from tessera.llm.storage import shared_dir
-
-    tokens, listed = write_token_files(docs, f"{shared_dir(docs.sparkSession)}/tessera/tokens-{uuid.uuid4().hex}", tokenizer, end, block_tokens)
-    counts = count_tokens(tokens, end, 2)
+    tokens, listed = write_token_files(docs, place(docs.sparkSession, "tokens"), tokenizer, end, block_tokens)
+    counts = count_tokens(tokens, end, id_width(tokenizer, end))
     return listed.join(counts.select("file", "ordinal", "n_tokens"), ["file", "ordinal"], "left").select("doc_id", "file", "ordinal", "n_tokens")
