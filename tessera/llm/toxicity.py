@@ -7,7 +7,7 @@ its largest marginal and of the expected number of toxic tokens (marginals from
 
 Tokens are labelled for training from labelled documents: all tokens of a clean document are clean, a token of a
 toxic document is toxic if one of its features occurs in toxic documents far more often than in clean ones. The fit
-uses at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents (those with the least hash of doc_id) of at most
+uses at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents (those with the least hash of doc_id, one text for each id) of at most
 ``MAX_BYTES`` bytes together; this bounds the driver's memory. Scoring reads every text whole.
 
 The recursions run over all tokens of a batch at once: a document's first token has a transition that forgets what
@@ -252,61 +252,69 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(3)) == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_bytes: int = MAX_BYTES) -> Model:
-    """labels: (doc_id, toxic), training rows only."""
+def labelled_texts(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int, max_bytes: int) -> tuple[list[str], np.ndarray]:
+    """(texts, toxic) of the sample that is fitted: ids by least hash, one text for each, as long as they fit.
+
+    Ids and sizes are found first, then the texts that fit are sent; either is one parallel pass over (doc_id, text), and the
+    driver holds at most the bytes asked for.
+    """
+    spark = docs.sparkSession
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     pick = lambda y, n: labels.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    ids = {r[0]: r[1] for r in [*pick(1, max_toxic).collect(), *pick(0, max_clean).collect()]}
-    known = np.sort(np.array(list(ids), dtype=np.int64))
-
-    def chosen(batches):
-        for b in batches:
-            doc = b.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            at = np.minimum(np.searchsorted(known, doc), max(len(known) - 1, 0))
-            hit = (known[at] == doc) & ~np.asarray(b.column(0).is_null()) if len(known) else np.zeros(len(doc), bool)
-            if hit.any():
-                yield b.filter(pa.array(hit))
-
-    texts, y, size = [], [], 0
-    for r in docs.select("doc_id", "text").mapInArrow(chosen, "doc_id long, text string").toLocalIterator():
-        t = r["text"] or ""
-        if size + len(t) <= max_bytes:
-            size += len(t)
-            texts.append(t)
-            y.append(ids[r["doc_id"]])
-    return train(texts, np.array(y) == 1)
+    kind = {r[0]: r[1] for r in [*pick(1, max_toxic).collect(), *pick(0, max_clean).collect()]}
+    if not kind:
+        return [], np.zeros(0, dtype=bool)
+    ids = F.broadcast(spark.createDataFrame([(i,) for i in kind], "doc_id long"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
+    own = rows.join(ids, "doc_id").groupBy("doc_id").agg(F.min(F.struct("mark", F.octet_length("text").alias("size"))).alias("least"))
+    sizes = own.select("doc_id", "least.mark", "least.size").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    chosen, total = [], 0
+    for i, mark, size in sizes:
+        if total + size <= max_bytes:
+            total += size
+            chosen.append((i, mark))
+    if not chosen:
+        return [], np.zeros(0, dtype=bool)
+    wanted = F.broadcast(spark.createDataFrame(chosen, "doc_id long, mark long"))
+    texts = dict(rows.join(wanted, ["doc_id", "mark"]).groupBy("doc_id").agg(F.min("text")).collect())
+    order = [i for i, _ in chosen if i in texts]
+    return [texts[i] for i in order], np.array([kind[i] == 1 for i in order], dtype=bool)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_bytes: int = MAX_BYTES) -> Model:
+    """labels: (doc_id, toxic), training rows only."""
+    return train(*labelled_texts(docs, labels, max_toxic, max_clean, max_bytes))
+
+
+_TAGGED = "struct<score: double, spans: array<struct<start: bigint, end: bigint, p: double>>>"
 
 
 def tag(docs: DataFrame, model: Model) -> DataFrame:
     """docs' columns, score, and spans: code point offsets [start, end) and largest marginal of each toxic run of tokens."""
-    from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
-
-    others = [c for c in docs.columns if c not in ("score", "spans")]
-    kept = docs.select(*others)
-    span = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("p", DoubleType())])
     arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
-    def each(batches):
-        for b in batches:
-            raw, off = tb.text_bytes(b.column(b.schema.get_field_index("text")))
-            score, spans = np.full(b.num_rows, model.constant or 0.0), [[] for _ in range(b.num_rows)]
-            if model.constant is None:
-                for i, j, r, o in tb.slices(raw, off):
-                    s, e, row = tb.words(r, o)
-                    first = np.ones(len(row), dtype=bool)
-                    first[1:] = row[1:] != row[:-1]
-                    p = model.marginals(token_features(r, s, e), first)[0] if len(row) else np.zeros(0)
-                    score[i:j] = _sigmoid(_summary(p, row, j - i) @ model.readout)
-                    bad = p >= 0.5
-                    if bad.any():
-                        point = np.cumsum((r & 0xC0) != 0x80)
-                        begin = np.flatnonzero(bad & (first | ~np.concatenate([[False], bad[:-1]])))
-                        stop = np.flatnonzero(bad & np.append(first[1:] | ~bad[1:], True))
-                        top = np.maximum.reduceat(np.append(p, 0), np.stack([begin, stop + 1], 1).ravel())[::2]
-                        base = np.concatenate([[0], point])[o]
-                        for x, y, m in zip(begin.tolist(), stop.tolist(), top.tolist(), strict=True):
-                            q = row[x]
-                            spans[i + q].append({"start": int(point[s[x]] - 1 - base[q]), "end": int(point[e[y] - 1] - base[q]), "p": m})
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), pa.array(spans, arrow)], names=[*others, "score", "spans"])
-
-    return kept.mapInArrow(each, StructType([*kept.schema.fields, StructField("score", DoubleType()), StructField("spans", ArrayType(span))]))
+    def each(r, o):
+        n = len(o) - 1
+        score, spans = np.full(n, model.constant or 0.0), [[] for _ in range(n)]
+        if model.constant is None:
+            s, e, row = tb.words(r, o)
+            first = np.ones(len(row), dtype=bool)
+            first[1:] = row[1:] != row[:-1]
+            p = model.marginals(token_features(r, s, e), first)[0] if len(row) else np.zeros(0)
+            score = _sigmoid(_summary(p, row, n) @ model.readout)
+            bad = p >= 0.5
+            if bad.any():
+                point = np.cumsum((r & 0xC0) != 0x80)
+                begin = np.flatnonzero(bad & (first | ~np.concatenate([[False], bad[:-1]])))
+                stop = np.flatnonzero(bad & np.append(first[1:] | ~bad[1:], True))
+                top = np.maximum.reduceat(np.append(p, 0), np.stack([begin, stop + 1], 1).ravel())[::2]
+                base = np.concatenate([[0], point])[o]
+                for x, y, m in zip(begin.tolist(), stop.tolist(), top.tolist(), strict=True):
+                    q = row[x]
+                    spans[q].append({"start": int(point[s[x]] - 1 - base[q]), "end": int(point[e[y] - 1] - base[q]), "p": m})
+        return pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(spans, arrow)], names=["score", "spans"])
+
+    found = tb.fresh(docs, "tagged")
+    others = [c for c in docs.columns if c not in ("score", "spans")]
+    rows = tb.small_batches(docs).withColumn(found, tb.of_texts(each, _TAGGED, F.col("text")))
+    return rows.select(*others, F.col(found)["score"].alias("score"), F.col(found)["spans"].alias("spans"))
