@@ -12,9 +12,12 @@ start; copies are never expanded.
 Sets that are left keep their rarest lists only: as many of the commonest as c - 1 can go without losing a link. Sets
 connected by the lists that remain make blocks. A block's sets meet in one task and all pairs are decided there by
 exact intersection sizes; a block above ``PART_ROWS`` or ``PART_BYTES`` is split into parts and each pair of parts is a
-task, so no group is held whole. Tasks return a forest and numbers of links, not pairs.
+task, so no group is held whole. Where it costs fewer transfers of sets, the lists of a large block are taken one by one instead (split the same
+way): sets that only hang together by a chain of lists then never meet, and a pair counts at the least of the lists that it shares.
+Tasks return a forest and numbers of links, not pairs.
 
-Shingles are 64-bit hashes, classes 128-bit sums of them. Documents without words have an empty set, link with nothing
+Shingles are 64-bit hashes; classes are 128-bit sums of them, and so are the ends of links. (Lists carry the first half; where two classes
+had the same, neither would lose a list that it needs.) Documents without words have an empty set, link with nothing
 and are their own component. Null texts are empty; rows with equal doc_id are documents of their own that share the
 smallest id of their component; an empty table gives an empty result; extra columns are dropped.
 """
@@ -159,17 +162,20 @@ def _shared(batches):
 
 
 def _set_rows(k: int):
-    """Replaces text by the set, as bytes."""
+    """Replaces text by the set, as bytes; rows whose text is of another class than its row says are left out."""
 
     def each(batches):
         for b in batches:
-            i_text = b.schema.get_field_index("text")
-            raw, off = tb.text_bytes(b.column(i_text))
+            at = b.schema.get_field_index
+            raw, off = tb.text_bytes(b.column(at("text")))
             for i, j, r, o in tb.slices(raw, off):
                 h, e = sets_of(r, o, k)
                 data = h.tobytes()
                 sets = pa.array([data[8 * x : 8 * y] for x, y in zip(e[:-1], e[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([sets if c == i_text else b.column(c).slice(i, j - i) for c in range(b.num_columns)], names=b.schema.names)
+                own = np.ones(j - i, dtype=bool)
+                for name, s in zip(("s1", "s2"), _signatures(h, e), strict=True):
+                    own &= b.column(at(name)).slice(i, j - i).to_numpy() == tb.as_long(s)
+                yield pa.RecordBatch.from_arrays([sets if c == at("text") else b.column(c).slice(i, j - i) for c in range(b.num_columns)], names=b.schema.names).filter(pa.array(own))
 
     return each
 
@@ -226,16 +232,18 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = low
 
 
-_LINKS = "s1 long, root long, links long"
+_LINKS = "id binary, root binary, links long"
+#: A task's rows: those of a block (or of a list), or of two parts of it.
+_TASK = ["listed", "unit", "i", "j"]
 
 
 def _linked(percent: int):
-    """Decides all pairs of a block, or of two parts of it; rows come sorted by (block, i, j)."""
+    """Decides all pairs of a task; rows come sorted by task."""
 
     def one(t: pa.Table):
         part = t.column("part").to_numpy()
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        sig, mult = t.column("s1").to_numpy(), t.column("mult").to_numpy()
+        mult = t.column("mult").to_numpy()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in t.column("text").to_pylist()]
         size = np.array([len(s) for s in sets], dtype=np.float64)
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
@@ -246,15 +254,21 @@ def _linked(percent: int):
         if i == j:
             np.fill_diagonal(ok, False)
         a, b = np.nonzero(ok)
+        a, b = left[a], right[b]
+        if t.column("listed")[0].as_py():  # the pair counts at the least list that both are on
+            unit, lists = t.column("unit")[0].as_py(), t.column("lists").to_pylist()
+            on = [frozenset(x) for x in lists]
+            first = np.array([min(on[x] & on[y]) == unit for x, y in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
+            a, b = a[first], b[first]
         if not len(a):
             return None
-        a, b = left[a], right[b]
         links = np.bincount(a, weights=mult[b], minlength=len(sets))
         if i != j:
             links += np.bincount(b, weights=mult[a], minlength=len(sets))
         root = _roots(len(sets), a, b)
         use = np.flatnonzero(links > 0)
-        return pa.RecordBatch.from_arrays([pa.array(sig[use]), pa.array(sig[root[use]]), pa.array(links[use].astype(np.int64))], names=["s1", "root", "links"])
+        ids = t.column("id").combine_chunks()
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(use)), ids.take(pa.array(root[use])), pa.array(links[use].astype(np.int64))], names=["id", "root", "links"])
 
     def each(batches):
         held = None
@@ -263,7 +277,7 @@ def _linked(percent: int):
                 continue
             t = pa.Table.from_batches([b])
             held = t if held is None else pa.concat_tables([held, t])
-            key = np.stack([held.column(c).to_numpy() for c in ("block", "i", "j")])
+            key = np.stack([held.column(c).to_numpy() for c in _TASK])
             edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
             if not len(edge):
                 continue
@@ -281,46 +295,73 @@ def _linked(percent: int):
     return each
 
 
+def _parts(part_rows: int, part_bytes: int):
+    """Parts that a group of sets is split into, by their number and their bytes; to be aggregated."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)), F.ceil(F.sum("n") * 8 / F.lit(part_bytes))).cast("int").alias("parts")
+
+
+def _units(member: DataFrame, lists: DataFrame, part_rows: int, part_bytes: int) -> DataFrame:
+    """(rid, s1, s2, id, mult, listed, unit, parts, lists): the blocks, or lists, that each class is held against others in.
+
+    A block of n sets in p parts costs n * p transfers of sets, its lists cost the same sum over the lists. Only blocks of
+    several parts are looked at by their lists.
+    """
+    blocks = member.groupBy("block").agg(_parts(part_rows, part_bytes), F.count(F.lit(1)).alias("members"))
+    own = ["rid", "s1", "s2", "id", "mult"]
+    large = stored(member.join(blocks.where("parts > 1"), "block"), "jaccard-large")
+    on = lists.join(large.select("s1", "n", "block", "id"), "s1")
+    by_list = on.groupBy("block", "key").agg(_parts(part_rows, part_bytes).alias("list_parts"), F.count(F.lit(1)).alias("on_list")).where("on_list > 1")
+    cost = by_list.groupBy("block").agg(F.sum(F.col("on_list") * F.col("list_parts")).alias("by_lists"))
+    chosen = large.select("block", "parts", "members").distinct().join(cost, "block").where(F.col("by_lists") < F.col("members") * F.col("parts")).select("block")
+    chosen = stored(chosen, "jaccard-chained")
+    listed = on.join(chosen, "block").join(by_list.select("block", "key", "list_parts"), ["block", "key"])
+    keys = listed.groupBy("id").agg(F.collect_set("key").alias("lists"))
+    listed = listed.select("id", F.col("key").alias("unit"), F.col("list_parts").alias("parts")).join(keys, "id").join(large.select(*own), "id")
+    whole = member.join(chosen, "block", "left_anti").join(blocks.drop("members"), "block")
+    whole = whole.select(*own, F.lit(False).alias("listed"), F.col("block").alias("unit"), "parts", F.array().cast("array<bigint>").alias("lists"))
+    return whole.unionByName(listed.select(*own, F.lit(True).alias("listed"), "unit", "parts", "lists"))
+
+
 def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES, bound: int | None = None) -> DataFrame:
-    """(rid, doc_id, n_shingles, component_id, n_links, root) for every row of (doc_id, text); rid is xxhash64(doc_id, text).
+    """(rid, doc_id, n_shingles, component_id, n_links, root) for every row of (doc_id, text); rid is a 128-bit hash of both.
 
-    component_id is the least id in the component, which two components can share or lack; root is the signature of a set in it and
+    component_id is the least id in the component, which two components can share or lack; root is the 128-bit signature of a set in it and
     tells components apart (null without words).
     """
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
-    rows = stored(texts.mapInArrow(_classes(k), "rid long, doc_id long, n long, s1 long, s2 long"), "jaccard-classes")
+    texts = tb.small_batches(docs).select(tb.row_id("doc_id", "text").alias("rid"), "doc_id", "text")
+    rows = stored(texts.mapInArrow(_classes(k), "rid binary, doc_id long, n long, s1 long, s2 long"), "jaccard-classes")
     classes = rows.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "rid")).alias("rep"), F.count(F.lit(1)).alias("mult"), F.max("n").alias("n"))
+    classes = classes.withColumn("id", F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("s1", "s2")])))
     if bound is None:
         sizes = classes.where(F.col("n") <= MOST_LIGHT + 4).groupBy("n").count().collect()
         bound = light_bound({r["n"]: r["count"] for r in sizes}, percent)
     posts = texts.select("text").mapInArrow(_postings(k, percent, bound), "key long, s1 long, need int, light boolean")
     shared = stored(posts.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(_shared, "key long, s1 long, need int, light boolean"), "jaccard-lists")
     own = ["s1", "light"]
-    enough = shared.groupBy(*own).agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need")).where("n >= need").select(*own)
+    enough = shared.groupBy(*own).agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need").select(*own)
     lists = shared.join(enough, own, "left_semi")
     df = lists.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    rank = Window.partitionBy(*own).orderBy("df", "key")
-    lists = lists.join(df, "key").withColumn("rank", F.row_number().over(rank)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*own)))
-    lists = lists.where("rank <= n - need + 1").select("key", "s1")
+    rank, whole = Window.partitionBy(*own).orderBy("df", "key"), Window.partitionBy(*own)
+    lists = lists.join(df, "key").withColumns({"rank": F.row_number().over(rank), "n": F.count(F.lit(1)).over(whole), "least": F.min("need").over(whole)})
+    lists = stored(lists.where("rank <= n - least + 1").select("key", "s1").distinct(), "jaccard-kept")
     low = lists.groupBy("key").agg(F.min("s1").alias("low"))
     edges = lists.join(low, "key").where("s1 <> low").select(F.col("s1").alias("a"), F.col("low").alias("b")).distinct()
     blocks = components(edges).select(F.col("node").alias("s1"), F.col("root").alias("block"))
-    member = classes.join(blocks, "s1").select(F.col("rep.rid").alias("rid"), "s1", "n", "mult", "block")
-    parts = member.groupBy("block").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)), F.ceil(F.sum("n") * 8 / F.lit(part_bytes))).cast("int").alias("parts"))
-    member = stored(member.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("s1"), F.col("parts")).cast("int")), "jaccard-members")
-    # the texts are dealt by row at every size: what is wanted of them grows with them
-    sets = texts.select("rid", "text").join(member.drop("n").hint("merge"), "rid")
-    schema = "text binary, s1 long, mult long, block long, parts int, part int"
-    sets = sets.select("text", "s1", "mult", "block", "parts", "part").mapInArrow(_set_rows(k), schema)
+    member = stored(classes.join(blocks, "s1").select(F.col("rep.rid").alias("rid"), "s1", "s2", "id", "n", "mult", "block"), "jaccard-members")
+    units = _units(member, lists, part_rows, part_bytes).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # the texts are dealt by row at every size: what is wanted of them grows with them; rows that repeat are one before that
+    sets = texts.select("rid", "text").dropDuplicates(["rid"]).join(units.hint("merge"), "rid")
+    schema = "text binary, s1 long, s2 long, id binary, mult long, listed boolean, unit long, parts int, part int, lists array<bigint>"
+    sets = sets.select(*[c.split()[0] for c in schema.split(", ")]).mapInArrow(_set_rows(k), schema).drop("s1", "s2")
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-    sets = sets.select("text", "s1", "mult", "block", "part", "i", "j").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "s1")
+    sets = sets.select("text", "id", "mult", "part", *_TASK, "lists").repartition(*_TASK).sortWithinPartitions(*_TASK, "id")
     found = stored(sets.mapInArrow(_linked(percent), _LINKS), "jaccard-links")
-    links = found.groupBy("s1").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("s1").alias("a"), F.col("root").alias("b")))
-    linked = links.join(roots, links["s1"] == roots["node"]).select("s1", "root", "links")
-    named = classes.select("s1", "s2", F.col("rep.doc_id").alias("first"), "mult").join(linked, "s1", "left")
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    linked = links.join(roots, links["id"] == roots["node"]).select("id", "root", "links")
+    named = classes.select("s1", "s2", "id", F.col("rep.doc_id").alias("first"), "mult").join(linked, "id", "left")
     lowest = named.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
-    named = named.join(lowest, "root", "left").select("s1", "s2", F.coalesce("least", "first").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("root", "s1").alias("root"))
+    named = named.join(lowest, "root", "left").select("s1", "s2", F.coalesce("least", "first").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("root", "id").alias("root"))
     full = rows.where("n > 0").join(named, ["s1", "s2"]).select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "root")
-    empty = rows.where("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("root"))
+    empty = rows.where("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("binary").alias("root"))
     return full.unionByName(empty)

@@ -113,6 +113,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def row_id(*columns: str) -> Column:
+    """128 bits that rows with equal columns share, as binary."""
+    halves = (F.xxhash64(*columns), F.xxhash64(F.lit(1), *reversed(columns)))
+    return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves]))
+
+
 def of_texts(each, returns: str, text: Column) -> Column:
     """A column worked out from the texts alone: each(bytes, offsets) gives the values of one slice as an Arrow array.
 

@@ -5,7 +5,7 @@ import numpy as np
 import corpus_pipeline
 from tessera.llm import chat_tree, decontaminate, toxicity
 from tessera.llm import textbatch as tb
-from tests.llm.test_operators import words
+from tests.llm.test_operators import decoded, words
 
 
 def raw_of(texts):
@@ -114,8 +114,8 @@ def test_a_long_shared_start_is_packed_once(spark):
     start = words(100, 1)
     turns = [(c, t, "user", start if t == 0 else f"own {c}") for c in range(20) for t in (0, 1)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").coalesce(1)
-    packs = chat_tree.pack_conversations(df, pack_chars=len(start) // 2)
-    texts = [r["text"] for r in packs.collect()]
+    packs = chat_tree.pack_conversations(df, pack_tokens=100)
+    texts = [decoded(r["tokens"]) for r in packs.collect()]
     # a pack is filled by the first conversation with the start only, then by what the others add
     assert sum(x.count(start) for x in texts) <= 2 * len({r["pack"].split("-")[0] for r in packs.collect()}) + 1
     back = chat_tree.read_back(chat_tree.conversations(packs)).collect()

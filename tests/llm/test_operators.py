@@ -76,7 +76,7 @@ def test_suffix_dedup_keeps_columns(spark):
     assert suffix_dedup.removed_digest(documents(spark).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("part_rows", "bound"), [(2000, None), (2, 8), (2000, 0)])
+@pytest.mark.parametrize(("part_rows", "bound"), [(2000, None), (2, 8), (2000, 0), (1, 0)])
 def test_jaccard_equals_brute_force(spark, part_rows, bound):
     rows = rows_of(spark)
     sets = []
@@ -117,6 +117,41 @@ def test_jaccard_sides_of_the_limit(spark):
     assert got == deg
 
 
+def test_jaccard_of_a_chain(spark):
+    """A long chain of texts, each near the next only: one component, but its lists are taken one by one; and repeated rows of one of them."""
+    rng = np.random.default_rng(8)
+    w = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        rows.append((i, " ".join(w)))
+        w[int(rng.integers(0, 60))] = f"n{i}"
+    rows += [(5, rows[5][1])] * 30
+    sets = [{tuple(t.split()[j : j + 4]) for j in range(57)} for _, t in rows]
+    deg = [sum(j != i and 100 * len(s & o) >= 85 * len(s | o) for j, o in enumerate(sets)) for i, s in enumerate(sets)]
+    near = [[j for j, o in enumerate(sets) if 100 * len(s & o) >= 85 * len(s | o)] for s in sets]
+    least = list(range(len(rows)))
+    for _ in rows:
+        least = [min(least[j] for j in own) for own in near]
+    want = sorted((rows[i][0], rows[least[i]][0], deg[i]) for i in range(len(rows)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {}
+    units = jaccard_join._units
+
+    def spied(member, lists, *sizes):
+        out = units(member, lists, *sizes)
+        seen[sizes[0]] = out.where("listed").count()
+        return out
+
+    jaccard_join._units = spied
+    try:
+        for part_rows in (2000, 3):
+            out = jaccard_join.jaccard_classes(df, part_rows=part_rows)
+            assert sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in out.collect()) == want, part_rows
+    finally:
+        jaccard_join._units = units
+    assert seen[2000] == 0 and seen[3] > 0
+
+
 def test_decontaminate(spark):
     item, other = words(40, 11), words(18, 12)
     bench = spark.createDataFrame([(1, item), (2, other), (3, None), (4, "too short"), (5, item)], "item_id long, text string")
@@ -278,8 +313,6 @@ def test_mixing(spark):
     assert abs(sum({r["source"]: r["target"] for r in rows}.values()) - total) < 1e-6
     for r in rows:
         assert r["source_size"] == sizes[r["source"]] and r["target"] <= 3 * r["source_size"] + 1e-9 and 0 <= r["copies"] <= 3
-    mixed = mixing.mixed_documents(docs.where("doc_id is not null"))
-    assert mixed.count() == sum(r["copies"] for r in rows if r["doc_id"] is not None)
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
@@ -303,24 +336,45 @@ def test_targets_reshare_the_excess(spark):
 HARD = ["\\### Assistant: </turn> ok", "", "</turn>\n### user: x", "\\\\", "a: b\n\n", "### ### </turn></turn>", "\\", "ünï 😀"]
 
 
+def decoded(tokens):
+    return token_scan._encoder(token_scan.TOKENIZER).decode_bytes(list(tokens)).decode()
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", HARD[0]), (1, 1, "assistant", HARD[1]), (2, 0, "user", HARD[0]), (2, 1, "assistant", HARD[2]), (2, 2, None, None), (3, 0, "a:\\### b", HARD[5]), (4, None, "assistant", HARD[3]), (4, 0, "assistant", HARD[7])]
     rows += [(5, k, "assistant" if k % 2 else "user", HARD[k % 8]) for k in range(60)] + [(6, k, "assistant" if k % 2 else "user", HARD[k % 8]) for k in range(50)] + [(6, 3, "assistant", HARD[3])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, pack string")
+    code = token_scan._encoder(token_scan.TOKENIZER)
     for size in (1 << 18, 40):
         packs = chat_tree.pack_conversations(df, size)
         got = {r["conv_id"]: r for r in chat_tree.conversations(packs).collect()}
         for c in {r[0] for r in rows}:
             own = [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))]
-            assert chat_tree.parse(got[c]["formatted"]) == own
-            loss = [chat_tree.unescape(got[c]["formatted"][s["start"] : s["end"]]) for s in got[c]["loss"]]
+            tokens = got[c]["tokens"]
+            assert chat_tree.parse(code.decode(tokens)) == own
+            loss = [chat_tree.unescape(code.decode(tokens[s["start"] : s["end"]])) for s in got[c]["loss"]]
             assert loss == [t for r, t in own if r == "assistant"]
+        for p in packs.collect():  # positions and attention: every turn sees its ancestors and itself only
+            for t in p["turns"]:
+                chain, up = [], t["parent"]
+                while up >= 0:
+                    chain.append(p["turns"][up])
+                    up = p["turns"][up]["parent"]
+                assert t["position"] == sum(x["end"] - x["start"] for x in chain)
+                seen = sorted(i for s in t["ancestors"] for i in range(s["start"], s["end"]))
+                assert seen == sorted(i for x in chain for i in range(x["start"], x["end"]))
     shared = [(c, k, "user", f"turn {k} of {c if k == 9 else 'all'}", "x") for c in range(200) for k in range(10)]
     emitted = sum(len(p["turns"]) for p in chat_tree.pack_conversations(spark.createDataFrame(shared, "conv_id long, turn long, role string, text string, pack string")).collect())
     assert 209 <= emitted <= 200 + 9 * 8
     assert chat_tree.pack_conversations(df.limit(0)).count() == 0
 
 
+def test_rows_without_a_conversation_stand_alone(spark):
+    df = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    out = chat_tree.read_back(chat_tree.conversations(chat_tree.pack_conversations(df))).collect()
+    assert sorted((r["conv_id"] or 0, r["n_turns"], r["loss_chars"]) for r in out) == [(0, 1, 0), (0, 1, 1), (1, 1, 0)]
+
+
 def test_token_scan(spark, tmp_path):
     rng = np.random.default_rng(4)
     files = {"a": [0, 3, 0, 7, 250, 1], "b": [5], "c": [], "d": [40] * 30}
@@ -348,11 +402,3 @@ def test_token_counts_of_documents(spark):
     want = sorted((i if i is not None else -1, len(code.encode_ordinary(t))) for i, t in rows_of(spark))
     got = token_scan.document_token_counts(documents(spark), block_tokens=500).fillna(-1).collect()
     assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == want
-
-
-def test_pipeline_stages(spark, tmp_path):
-    import corpus_pipeline
-
-    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert out.count() > 0
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "repeats", "leaks", "mix"]
