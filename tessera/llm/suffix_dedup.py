@@ -4,7 +4,8 @@ The suffix array is sparse. In each string of LENGTH bytes the leftmost least ha
 bytes is an anchor; it depends on the string only, so equal strings have it at the same offset. Comparing suffixes at
 anchors (about one in 80 bytes), with the bytes before them, thus finds every repeat.
 
-1. Each task hashes the LEAD bytes at its anchors; hashes that occur once are dropped (a sort by hash finds runs).
+1. Each task hashes the LEAD bytes at its anchors; hashes that occur once are dropped (a sort by hash finds runs). A hash that a task meets
+   again is known to repeat: the task says so once, and these rows are spread over all tasks instead of meeting in one.
 2. What is left is cut from the texts: the suffix of LENGTH bytes and the LENGTH - LEAD bytes before it. Equal ones of a batch
    (copies, periodic text) are marked as repeats at once and go on as one.
 3. Sampled splitters range-partition the suffixes by their leading bytes, so all with the same LEAD bytes
@@ -15,7 +16,7 @@ anchors (about one in 80 bytes), with the bytes before them, thus finds every re
    digested with its offset (128 bits), digests are counted across all buckets with partial aggregation, and
    those counted twice or more mark their members.
 
-Matches never cross documents; strings are judged on the input. A row is known by a 64-bit hash of (doc_id, text); rows that repeat both
+Matches never cross documents; strings are judged on the input. A row is known by a 128-bit hash of (doc_id, text); rows that repeat both
 are copies of each other and lose all strings of LENGTH bytes. Null texts are empty; texts shorter than LENGTH stay whole. An
 empty table gives an empty result. Extra columns are kept by ``dedup_documents``.
 """
@@ -82,20 +83,43 @@ def anchors(raw: np.ndarray, off: np.ndarray, length: int = LENGTH, lead: int =
     return pos[new], key[new]
 
 
+#: What an anchor's row is: not met before in its task; met there already, so a repeat; said once by a task for a hash that repeats in it.
+ALONE, AGAIN, SAID = 0, 1, 2
+#: Hashes that a task remembers to repeat in it.
+MEMORY = 200_000
+
+
 def _anchor_rows(batches):
+    """(key, rid, pos, kind) of every anchor. However often a hash occurs, a task has few rows of it that other tasks must see."""
+    known = np.zeros(0, dtype=np.uint64)
     for b in batches:
         raw, off = tb.text_bytes(b.column(1))
-        rid = b.column(0).to_numpy(zero_copy_only=False)
+        rid = b.column(0)
         for i, _, r, o in tb.slices(raw, off):
             at, key = anchors(r, o)
+            if not len(at):
+                continue
             row = np.searchsorted(o, at, side="right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(tb.as_long(key)), pa.array(rid[i + row]), pa.array((at - o[row]).astype(np.int32))], names=["key", "rid", "pos"])
+            sole, which, times = np.unique(key, return_inverse=True, return_counts=True)
+            before = np.isin(sole, known, assume_unique=True)
+            kind = np.where(before | (times > 1), AGAIN, ALONE)[which]
+            new = sole[~before & (times > 1)]
+            if len(known) < MEMORY:
+                known = np.concatenate([known, new])
+            cols = [np.concatenate([x, y]) for x, y in ((tb.as_long(key), tb.as_long(new)), (at - o[row], np.zeros(len(new), np.int64)), (kind, np.full(len(new), SAID)))]
+            keys, pos, kinds = (pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int8()), strict=True))
+            rows = pa.concat_arrays([rid.take(pa.array(i + row)), pa.nulls(len(new), rid.type)])
+            yield pa.RecordBatch.from_arrays([keys, rows, pos, kinds], names=["key", "rid", "pos", "kind"])
 
 
 def _runs(batches):
-    """Rows whose key, in sorted order, equals a neighbour's; one row is carried from batch to batch."""
+    """(rid, pos) of the repeats, and of rows whose key, in sorted order, equals a neighbour's; one row is carried from batch to batch."""
     held, matched = None, False
     for b in batches:
+        again = b.column(3).to_numpy() == AGAIN
+        if again.any():
+            yield b.filter(pa.array(again)).select(["rid", "pos"])
+            b = b.filter(pa.array(~again))
         if not b.num_rows:
             continue
         b = pa.Table.from_batches([x for x in (held, b) if x is not None]).combine_chunks().to_batches()[0]
@@ -106,11 +130,11 @@ def _runs(batches):
         hit[:-1] |= same
         hit[0] |= matched
         matched = bool(hit[-1])
-        out = b.slice(0, b.num_rows - 1).filter(pa.array(hit[:-1]))
+        out = b.slice(0, b.num_rows - 1).filter(pa.array((hit & (b.column(3).to_numpy() == ALONE))[:-1]))
         held = b.slice(b.num_rows - 1)
         if out.num_rows:
             yield out.select(["rid", "pos"])
-    if held is not None and matched:
+    if held is not None and matched and held.column(3)[0].as_py() == ALONE:
         yield held.select(["rid", "pos"])
 
 
@@ -141,7 +165,7 @@ def _contexts(batches):
     window = np.arange(-before, LENGTH)
     for b in batches:
         raw, off = _unpacked(b.column(b.schema.get_field_index("text")))
-        rid = b.column(b.schema.get_field_index("rid")).to_numpy(zero_copy_only=False)
+        rid = b.column(b.schema.get_field_index("rid"))
         lists = b.column(b.schema.get_field_index("at"))
         count = np.diff(lists.offsets.to_numpy())
         row = np.repeat(np.arange(b.num_rows), count)
@@ -161,16 +185,16 @@ def _contexts(batches):
             whole = np.concatenate([text, np.stack([left, right], axis=1).astype("<u2").view(np.uint8)], axis=1)
             _, first, same, times = np.unique(np.ascontiguousarray(whole).view(f"V{whole.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
             many = (times[same] > 1) & (left + right >= LENGTH)
-            yield _rows(rid[q[first]], p[first], left[first], right[first], text[first])
+            yield _rows(rid.take(pa.array(q[first])), p[first], left[first], right[first], text[first])
             if many.any():
-                yield _rows(rid[q[many]], p[many] - left[many], np.full(many.sum(), -1), p[many] + right[many], text[:0])
+                yield _rows(rid.take(pa.array(q[many])), p[many] - left[many], np.full(many.sum(), -1), p[many] + right[many], text[:0])
 
 
-def _rows(rid, pos, nl, nr, text: np.ndarray) -> pa.RecordBatch:
+def _rows(rid: pa.Array, pos, nl, nr, text: np.ndarray) -> pa.RecordBatch:
     """Suffixes with their contexts; or, with nl -1 and no text, marked stretches [pos, nr)."""
     width = text.shape[1] if len(text) else 0
     data = pa.Array.from_buffers(pa.binary(), len(rid), [None, pa.py_buffer((np.arange(len(rid) + 1) * width).astype(np.int32)), pa.py_buffer(text.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(rid), *(pa.array(x.astype(np.int32)) for x in (pos, nl, nr)), data], names=["rid", "pos", "nl", "nr", "ctx"])
+    return pa.RecordBatch.from_arrays([rid, *(pa.array(x.astype(np.int32)) for x in (pos, nl, nr)), data], names=["rid", "pos", "nl", "nr", "ctx"])
 
 
 def multikey_order(words: np.ndarray) -> np.ndarray:
@@ -247,7 +271,9 @@ def repeated(ctx: np.ndarray, nl: np.ndarray, nr: np.ndarray) -> tuple[np.ndarra
     return low, high
 
 
-_FOUND = "rid long, start int, end int, d1 long, d2 long"
+#: Random values of the bytes, for two independent sums.
+_BYTES = np.random.default_rng(20).integers(1, 1 << 63, (2, 256)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_FOUND = "rid binary, start int, end int, d1 long, d2 long"
 
 
 def _bucket(batches, hot: int = HOT, chunk: int = CHUNK):
@@ -265,15 +291,24 @@ def _bucket(batches, hot: int = HOT, chunk: int = CHUNK):
         return pa.RecordBatch.from_arrays([t.column("rid").combine_chunks().take(pa.array(i)), pa.array((pos[i] - high[i]).astype(np.int32)), pa.array((pos[i] - low[i] + LENGTH).astype(np.int32)), none, none], names=["rid", "start", "end", "d1", "d2"])
 
     def digests(t: pa.Table):
-        rid, pos, nl, nr, ctx = (t.column(c).to_pylist() for c in ("rid", "pos", "nl", "nr", "ctx"))
-        out = []
-        for r, p, a, z, c in zip(rid, pos, nl, nr, ctx, strict=True):
-            for l in range(max(0, LENGTH - z), min(a, before) + 1):  # noqa: E741
-                h = hashlib.blake2b(c[before - l : before - l + LENGTH], digest_size=16, salt=l.to_bytes(2, "little")).digest()
-                out.append((r, p - l, p - l + LENGTH, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["rid", "start", "end", "d1", "d2"])
+        """128-bit digests of every string of LENGTH bytes around the anchors: two sums over random values of the bytes, by prefixes."""
+        col = t.column("ctx").combine_chunks()
+        width = before + LENGTH
+        ctx = np.frombuffer(col.buffers()[2], dtype=np.uint8)[col.offset * width :][: len(col) * width].reshape(len(col), -1)
+        nl, nr, pos = (t.column(c).to_numpy().astype(np.int64) for c in ("nl", "nr", "pos"))
+        rid = t.column("rid").combine_chunks()
+        pw, inv = tb.powers(width + 1)
+        l = np.arange(before + 1)  # noqa: E741
+        inside = (l >= LENGTH - nr[:, None]) & (l <= nl[:, None])
+        row, l = np.nonzero(inside)  # noqa: E741
+        start = before - l
+        two = []
+        for values in _BYTES:
+            c = np.zeros((len(ctx), width + 1), dtype=np.uint64)
+            np.cumsum(values[ctx] * pw[:width], axis=1, out=c[:, 1:])
+            two.append(tb.as_long(tb.mix((c[row, start + LENGTH] - c[row, start]) * inv[start] + l.astype(np.uint64))))
+        at = pos[row] - l
+        return pa.RecordBatch.from_arrays([rid.take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array((at + LENGTH).astype(np.int32)), *map(pa.array, two)], names=["rid", "start", "end", "d1", "d2"])
 
     held: pa.Table | None = None
     flowing: bytes | None = None  # the hot leading string whose rows are digested as they come
@@ -351,17 +386,19 @@ def _until(lead: pa.Array, value: bytes) -> int:
 
 
 def with_row_id(docs: DataFrame, name: str = "rid") -> DataFrame:
-    return docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    return docs.withColumn(name, tb.row_id("doc_id", "text"))
 
 
 def repeated_spans(texts: DataFrame, dealt: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """(rid, start, end): overlapping stretches to remove. ``texts`` has (rid, text), ``dealt`` the same packed and partitioned by rid."""
-    keys = tb.small_batches(texts).select("rid", "text").mapInArrow(_anchor_rows, "key long, rid long, pos int")
-    shared = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_runs, "rid long, pos int")
+    keys = tb.small_batches(texts).select("rid", "text").mapInArrow(_anchor_rows, "key long, rid binary, pos int, kind byte")
+    # rows that are known to be repeats pass through any task
+    dealt_by = F.when(F.col("kind") == AGAIN, F.xxhash64("rid", "pos")).otherwise(F.col("key"))
+    shared = keys.repartition(dealt_by).sortWithinPartitions("key").mapInArrow(_runs, "rid binary, pos int")
     at = shared.groupBy("rid").agg(F.array_sort(F.collect_set("pos")).alias("at"))
-    cut = dealt.join(at, "rid").select("rid", "text", "at").mapInArrow(_contexts, "rid long, pos int, nl int, nr int, ctx binary")
+    cut = dealt.join(at, "rid").select("rid", "text", "at").mapInArrow(_contexts, "rid binary, pos int, nl int, nr int, ctx binary")
     # marked stretches only pass through; they are spread over the buckets
-    lead = F.when(F.col("nl") >= 0, F.substring("ctx", LENGTH - LEAD + 1, LEAD)).otherwise(F.sha1(F.col("pos").cast("string")).cast("binary"))
+    lead = F.when(F.col("nl") >= 0, F.substring("ctx", LENGTH - LEAD + 1, LEAD)).otherwise(F.sha1(F.concat("rid", F.encode(F.col("pos").cast("string"), "UTF-8"))).cast("binary"))
     buckets = cut.repartitionByRange(lead).withColumn("lead", lead).sortWithinPartitions("lead")
     found = stored(buckets.mapInArrow(lambda x: _bucket(x, hot_rows, chunk), _FOUND), "repeats")
     plain = found.where("d1 is null").select("rid", "start", "end")
@@ -403,7 +440,7 @@ def _digest_rows(batches):
 
 def _spans(docs: DataFrame, hot_rows: int = HOT, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     texts = with_row_id(docs.select("doc_id", "text")).select("rid", "doc_id", "text")
-    dealt = texts.mapInArrow(_packed, "rid long, doc_id long, text binary").repartition("rid")
+    dealt = texts.mapInArrow(_packed, "rid binary, doc_id long, text binary").repartition("rid")
     spans = repeated_spans(texts, dealt, hot_rows, chunk)
     return dealt, spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
