@@ -6,13 +6,10 @@ Parquet and read again as the next one's docs. All but the last return the colum
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, jaccard_join, mixing, quality, suffix_dedup, textbatch
-from tessera.llm.storage import shared_dir
+from tessera.llm import decontaminate, jaccard_join, mixing, quality, storage, suffix_dedup, textbatch
 from tessera.session import visible
 
 
@@ -43,7 +40,7 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = classes.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("kept"))
     kept = first.select(F.col("kept.rid").alias(key)).unionByName(classes.where("n_shingles = 0").select(F.col("rid").alias(key)).distinct())
     # rows that repeat meet before they are dealt by row, so that many of them are one in each task already
-    rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).dropDuplicates([key])
+    rows = docs.withColumn(key, textbatch.row_id("doc_id", "text")).dropDuplicates([key])
     return rows.join(kept.hint("merge"), key, "left_semi").drop(key)
 
 
@@ -89,11 +86,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. What a stage stores for itself is deleted once its result is written."""
     visible(spark)
     docs = _table(spark, sf_dir, "documents")
-    place = f"{shared_dir(spark)}/tessera/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{place}/{name}")
-        docs = spark.read.parquet(f"{place}/{name}")
+        at = storage.place(spark, f"pipeline-{name}")
+        with storage.released(spark):
+            stage(spark, docs, sf_dir).write.parquet(at)
+        docs = spark.read.parquet(at)
     return STAGES[-1][1](spark, docs, sf_dir)
