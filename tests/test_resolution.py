@@ -248,3 +248,51 @@ def test_package_can_be_shipped():
 
     names = zipfile.ZipFile(packed()).namelist()
     assert "tessera/session.py" in names and all(n.endswith(".py") for n in names)
+
+
+def test_out_of_fold_scores_every_row(spark):
+    from tessera.operators import model as M
+    from tessera.operators.features import FEATURES
+
+    rows = spark.range(120).select((F.col("id") % 30).alias("s1"), F.col("id").alias("tgt"), *[(F.pmod(F.col("id") * (i + 3), F.lit(7)) / 7).cast("float").alias(f) for i, f in enumerate(FEATURES)], (F.pmod("id", F.lit(7)) > 3).cast("int").alias("y"))
+    rows = rows.withColumn("fold", (F.col("s1") % 3).cast("int"))
+    got = M.out_of_fold(rows, 3, rounds=2, depth=2, least=1)
+    assert got.count() == 120 and got.where("prob < 0 or prob > 1").count() == 0
+    alone = M.predict(M.train(rows.where("fold <> 1"), 2, depth=2, least=1), rows.where("fold = 1"))
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, got.join(rows.where("fold = 1").select("s1", "tgt"), ["s1", "tgt"]).collect()))
+
+
+def test_role_cache_missing_columns_and_stages(spark, tmp_path):
+    from tessera.plans.resolution import staged
+    from tessera.sources.entities import load_role, save_role
+
+    (tmp_path / "x.tsv").write_text("entity_id\tcountry\nS1-a\tUS\n")
+    one = read_tsv(spark, str(tmp_path / "x.tsv")).first()
+    assert (one["rid"], one["business_name"], one["business_address"], one["country"]) == (0, "", "", "US")
+    n = K.normalize(entities(spark, ROWS))
+    save_role(n, str(tmp_path / "role"))
+    assert load_role(spark, str(tmp_path / "role")).count() == 5
+    assert "name" not in load_role(spark, str(tmp_path / "role"), with_text=False).columns
+    made = []
+    for config in ({"a": 1}, {"a": 1}, {"a": 2}):
+        staged(lambda: made.append(1) or n, spark, str(tmp_path / "stage"), config)
+    assert len(made) == 2
+
+
+def test_sample_is_of_the_rows_and_fixed(spark):
+    from tessera.operators import calibrate as C
+
+    rows = spark.range(500).withColumnRenamed("id", "s1")
+    a, b = ({r["s1"] for r in C.sampled(rows.repartition(k), 15, "s1").collect()} for k in (1, 5))
+    assert a == b and len(a) == 15 and a <= set(range(500))
+    top = C.sampled_top(spark.createDataFrame([(i, j, float(j % 7)) for i in range(9) for j in range(3 * i)], "s1 long, tgt long, w double"), 4, 3, 10).collect()
+    assert len(top) == 12 and len({r["s1"] for r in top}) == 4 and {r["w"] for r in top} == {6.0, 5.0}.union(r["w"] for r in top) and min(r["s1"] for r in top) >= 4
+
+
+def test_pairs_of_the_first_rows(spark):
+    from tessera.operators import calibrate as C
+
+    s1 = spark.range(6).withColumnRenamed("id", "rid")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (4, 1)], "s1 long, tgt long")
+    assert tuple(C.pairs_per_row(pairs, s1, first=3).first()) == (3, 2, 2 / 3)
+    assert tuple(C.local_recall(pairs, spark.createDataFrame([(0, 1), (1, 1), (5, 5)], "s1 long, tgt long"), 3).first()) == (2, 1, 0.5, 2, 2 / 3)
