@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tessera.llm import textbatch as tb
+
 #: Elements by kind, from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template iframe svg textarea select title xmp noembed noframes".split())
@@ -369,4 +371,4 @@ def extract_text(pages: DataFrame, model: Model | None = None, column: str = "ht
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=[*others, "text"])
 
     kept = pages.select(*others)
-    return pages.select(*others, column).mapInArrow(each, StructType([*kept.schema.fields, StructField("text", StringType())]))
+    return tb.small_batches(pages).select(*others, column).mapInArrow(each, StructType([*kept.schema.fields, StructField("text", StringType())]))
