@@ -21,7 +21,7 @@ WORDS = 5
 FRACTION = 0.25
 #: Rows of the table that stand next to each other in one window of ``edited_fingerprints``.
 RUN = 2000
-MOST_RUNS = 20_000
+MOST_RUNS = 200_000
 
 _SPACES = r"[\x20\x09-\x0D]+"
 
@@ -95,9 +95,12 @@ def with_next(docs: DataFrame, columns: list[str], run: int = RUN) -> DataFrame:
     """
     ids = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low")).first()
     runs = max(1, min(MOST_RUNS, ids["n"] // run))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / runs for i in range(1, runs)], max(10_000, 4 * runs)).alias("q")).first()["q"] if runs > 1 else []
+    # arrays of figures are written as one text each and folded to literals, not built from single ones
+    figures = lambda xs, kind="bigint": F.split(F.lit(",".join(map(str, xs))), ",").try_cast(f"array<{kind}>")
+    steps = figures([i / runs for i in range(1, runs)], "double")
+    cuts = docs.agg(F.percentile_approx("doc_id", steps, max(10_000, 4 * runs)).alias("q")).first()["q"] if runs > 1 else []
     cuts = sorted(set(cuts or []))
-    pieces = F.lit(cuts or [2**63 - 1]).cast("array<bigint>")
+    pieces = figures(cuts or [2**63 - 1])
 
     def number(c: Column) -> Column:
         """Cuts below c, by halves; each step is bound once, so the expression grows with the logarithm of the cuts."""
@@ -110,11 +113,13 @@ def with_next(docs: DataFrame, columns: list[str], run: int = RUN) -> DataFrame:
     own = docs.withColumn("run_at", number(F.col("doc_id")).cast("int"))
     heads = own.groupBy("run_at").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("head")).orderBy("run_at").collect()
     order = [r["run_at"] for r in heads]
-    before = {r: order[k - 1] for k, r in enumerate(order)}
-    at_head = F.lit(False)
-    firsts = [r["head"]["doc_id"] for r in heads]
-    at_head = F.col("doc_id").isin([x for x in firsts if x is not None]) | (F.col("doc_id").isNull() if None in firsts else F.lit(False))
-    prior = F.element_at(F.create_map(*[F.lit(x) for r in order for x in (r, before[r])]), F.col("run_at")) if order else F.col("run_at")
+    # by number of the run: the run before it that has rows, and its least doc_id (none where that is null)
+    before, first = [0] * (len(cuts) + 1), [""] * (len(cuts) + 1)
+    for k, r in enumerate(heads):
+        before[r["run_at"]] = order[k - 1]
+        first[r["run_at"]] = "" if r["head"]["doc_id"] is None else r["head"]["doc_id"]
+    at_head = F.col("doc_id").eqNullSafe(F.get(figures(first), F.col("run_at")))
+    prior = F.get(figures(before), F.col("run_at")).cast("int")
     dealt = own.withColumn("deal", F.explode(F.when(at_head, F.array(F.struct(F.col("run_at").alias("run"), F.lit(0).alias("guest")), F.struct(prior.alias("run"), F.lit(1).alias("guest")))).otherwise(F.array(F.struct(F.col("run_at").alias("run"), F.lit(0).alias("guest"))))))
     dealt = dealt.withColumn("run", F.col("deal.run")).withColumn("guest", F.col("deal.guest")).drop("deal", "run_at")
     along = Window.partitionBy("run").orderBy("guest", "doc_id", "text")
