@@ -277,8 +277,11 @@ class Index:
     def __init__(self, ids: list[int | None], texts: list[str], similarity: float = SIMILARITY, recall: float = RECALL):
         self.similarity = similarity
         self.ids, self.points, self.masks = [], [], []
+        same: dict[str, list[int | None]] = {}  # equal texts are looked for once
         for i, t in zip(ids, texts, strict=True):
-            raw = np.frombuffer((t or "").encode(), dtype=np.uint8)
+            same.setdefault(t or "", []).append(i)
+        for t, i in same.items():
+            raw = np.frombuffer(t.encode(), dtype=np.uint8)
             points = _points(raw, np.array([0, len(raw)]))[0][:-1]
             points = points[:-1] if len(points) and points[-1] == 32 else points
             if len(points):
@@ -411,17 +414,18 @@ class Index:
             m = len(self.points[k])
             back = _nearest(_masks(self.points[k][::-1].tolist()), m, points[x:end][::-1].tolist(), d, True)[1]
             word = int((points[edge[r] : end - back] == 32).sum()) + int(points[end - back] == 32)
-            out.append((r, self.ids[k], word, 1 - d / m, d))
+            out += [(r, i, word, 1 - d / m, d) for i in self.ids[k]]
         return out
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+    """Indexes of distinct texts, about ``block_bytes`` of them each, with the ids of all items that have them."""
+    items = benchmark.where(F.col("text").isNotNull()).groupBy("text").agg(F.sort_array(F.collect_list(F.struct("item_id"))).alias("ids"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        yield Index([r[0] for r in rows], [r[1] for r in rows])
+        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).orderBy("text").collect()
+        yield Index([i[0] for r in rows for i in r["ids"]], [r["text"] for r in rows for _ in r["ids"]])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
