@@ -33,7 +33,7 @@ MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 1500, 2500, 32 << 20
 THRESHOLD = 0.7
 BUCKETS = 1 << 18
 BLOCK = 64
-EPOCHS = 25
+EPOCHS = 12
 #: Tokens of the training texts that are worked on at once.
 SHARD = 1 << 18
 DEPTH = 6
@@ -160,7 +160,8 @@ def _label_tokens(feats: np.ndarray, row: np.ndarray, toxic: np.ndarray, weight:
     w1, w0 = weight[toxic].sum(), weight[~toxic].sum()
     pairs_f, pairs_d = [], []
     for k in range(_KINDS):
-        pair = np.unique(feats[k].astype(np.int64) * d + row)
+        pair = np.sort(feats[k].astype(np.int64) * d + row)
+        pair = pair[np.append(True, pair[1:] != pair[:-1])]
         b, doc = pair // d, pair % d
         t = toxic[doc]
         c1 = np.bincount(b[t], weights=weight[doc[t]], minlength=BUCKETS)
