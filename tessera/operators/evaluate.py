@@ -34,7 +34,11 @@ def recall(pairs: DataFrame, gt: DataFrame) -> DataFrame:
 
 
 def subsample(pairs: DataFrame, stride: int = 3, exact: bool = True) -> DataFrame:
-    """All true pairs and every ``stride``-th row: by position (a total order), or by hash, which needs no order."""
+    """All true pairs and every ``stride``-th row.
+
+    ``exact`` takes them by position, which puts all pairs in one order and so in one task: it is for comparing results on small
+    tables. By hash, as the whole resolution does, no order is needed.
+    """
     if exact:
         at = F.row_number().over(Window.orderBy("s1", "tgt")) - 1
         return pairs.withColumn("at", at).where((F.col("y") == 1) | (F.pmod(F.col("at"), F.lit(stride)) == 0)).drop("at")
