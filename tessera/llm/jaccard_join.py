@@ -10,9 +10,11 @@ start; copies are never expanded.
 * B is the size where enumeration stops being cheaper than the lists, from the sizes found; sets near B do both.
 
 Sets that are left keep their rarest lists only: as many of the commonest as c - 1 can go without losing a link. Sets
-connected by the lists that remain make blocks. A block's sets meet in one task and all pairs are decided there by
-exact intersection sizes; a block above ``PART_ROWS`` or ``PART_BYTES`` is split into parts and each pair of parts is a
-task, so no group is held whole. Where it costs fewer transfers of sets, the lists of a large block are taken one by one instead (split the same
+connected by the lists that remain make blocks. Chance lists chain unrelated sets to blocks that grow with the input, so a block above ``PART_ROWS`` or
+``PART_BYTES`` is first cut into the blocks that its sketches connect: a sketch has about a bit for each shingle, the parity of the
+shingles that fall on it, so no more bits of two sketches differ than shingles of their sets, and no link is lost. A block's sets meet in one task and all pairs are decided there by
+exact intersection sizes; one that is still large is split into parts and each pair of parts is a
+task, so no group is held whole. Where it costs fewer transfers of sets, the lists of a large and sparse block are taken one by one instead (split the same
 way): sets that only hang together by a chain of lists then never meet, and a pair counts at the least of the lists that it shares.
 Tasks return a forest and numbers of links, not pairs.
 
@@ -40,6 +42,12 @@ from tessera.llm.storage import stored
 WORDS = 4
 PERCENT = 85
 PART_ROWS, PART_BYTES = 2000, 12 << 20
+#: Parts that sketches are held against each other in, and bits of the shortest sketch.
+SKETCH_ROWS, SKETCH_BYTES, SKETCH_BITS = 16_384, 4 << 20, 128
+#: Pairs of sketches compared at once.
+CELLS = 1 << 18
+#: A block in which at least this share of all pairs is near is taken whole: its lists would be as long as itself.
+DENSE = 0.125
 #: Cost of one entry of an inverted list against one enumerated subset: its list is read and counted.
 LIST_COST = 4.0
 MOST_LIGHT = 20
@@ -86,6 +94,20 @@ def _signatures(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[0], out[1]
 
 
+def sketches(h: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """Of each set, bits at the low digits of its hashes, each the parity of the hashes there; as many as it has shingles, rounded up to a power of 2.
+
+    As many bits of two sketches differ as shingles of their sets, or fewer; also if the longer one is folded (its halves xored).
+    """
+    size = np.diff(off)
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    edge = np.concatenate([[0], np.cumsum(bits)])
+    at = tb.mix(h ^ np.uint64(0xA0761D6478BD642F)) & np.repeat(bits - 1, size).astype(np.uint64)
+    odd = np.bincount(at.astype(np.int64) + np.repeat(edge[:-1], size), minlength=int(edge[-1])) & 1
+    data = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [data[x // 8 : y // 8] if n else b"" for x, y, n in zip(edge[:-1].tolist(), edge[1:].tolist(), size.tolist(), strict=True)]
+
+
 def _classes(k: int):
     def each(batches):
         for b in batches:
@@ -93,7 +115,7 @@ def _classes(k: int):
             for i, j, r, o in tb.slices(raw, off):
                 h, e = sets_of(r, o, k)
                 s1, s2 = _signatures(h, e)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(np.diff(e)), pa.array(tb.as_long(s1)), pa.array(tb.as_long(s2))], names=["rid", "doc_id", "n", "s1", "s2"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(np.diff(e)), pa.array(tb.as_long(s1)), pa.array(tb.as_long(s2)), pa.array(sketches(h, e), pa.binary())], names=["rid", "doc_id", "n", "s1", "s2", "sketch"])
 
     return each
 
@@ -232,6 +254,72 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = low
 
 
+def _near_pairs(n: np.ndarray, sketch: list[bytes], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(least row that is connected to each row, number of near rows that are not smaller): near is what the sketches do not rule out as linked."""
+    root, near = np.arange(len(n)), np.zeros(len(n), dtype=np.int64)
+    width = np.array([len(x) // 8 for x in sketch])
+    words = {}
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        words[w] = at, np.frombuffer(b"".join(sketch[x] for x in at.tolist()), dtype=np.uint64).reshape(len(at), w)
+
+    def rows(side: np.ndarray, w: int, folded: bool) -> tuple[np.ndarray, np.ndarray]:
+        at, x = words.get(w, (np.zeros(0, np.int64), np.zeros((0, w), np.uint64)))
+        own = np.isin(at, side)
+        if folded and 2 * w in words:
+            more, y = words[2 * w]
+            also = np.isin(more, side)
+            at, x = np.concatenate([at[own], more[also]]), np.concatenate([x[own], y[also, :w] ^ y[also, w:]])
+        else:
+            at, x = at[own], x[own]
+        order = np.argsort(n[at], kind="stable")
+        return at[order], np.ascontiguousarray(x[order].T)
+
+    for w in words:
+        for a, b in ((left, right),) if left is right else ((left, right), (right, left)):
+            at_a, x = rows(a, w, False)
+            at_b, y = rows(b, w, True)
+            size_b, i = n[at_b], 0
+            while i < len(at_a):
+                lo = int(np.searchsorted(size_b, n[at_a[i]]))
+                j = min(len(at_a), i + max(1, CELLS // max(1, int(np.searchsorted(size_b, 100 * n[at_a[i]] // percent, side="right")) - lo)))
+                hi = int(np.searchsorted(size_b, 100 * n[at_a[j - 1]] // percent, side="right"))
+                if hi > lo:
+                    apart = np.zeros((j - i, hi - lo), dtype=np.int32)
+                    for v in range(w):
+                        apart += np.bitwise_count(x[v, i:j, None] ^ y[v, None, lo:hi])
+                    ok = apart * (100 + percent) <= (n[at_a[i:j], None] + size_b[None, lo:hi]) * (100 - percent)
+                    ok &= size_b[None, lo:hi] >= n[at_a[i:j], None]
+                    near[at_a[i:j]] += ok.sum(axis=1)
+                    ok &= root[at_a[i:j], None] != root[None, at_b[lo:hi]]
+                    p, q = np.nonzero(ok)
+                    if len(p):
+                        root = _roots(len(n), root[at_a[i + p]], root[at_b[lo + q]])[root]
+                i = j
+    return root, near
+
+
+def _near(percent: int):
+    """(s1, s1 of a set that it is connected to, number of near sets); rows come sorted by task."""
+
+    def one(t: pa.Table):
+        part, name = t.column("part").to_numpy(), t.column("s1").to_numpy()
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        left = np.flatnonzero(part == i)
+        right = left if i == j else np.flatnonzero(part == j)
+        if len(left) == 0 or len(right) == 0:
+            return None
+        root, near = _near_pairs(t.column("n").to_numpy(), t.column("sketch").to_pylist(), left, right, percent)
+        near -= i == j  # itself
+        use = np.flatnonzero(root != np.arange(len(root)))
+        use = np.union1d(use, root[use])
+        if not len(use):
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(name[use]), pa.array(name[root[use]]), pa.array(near[use])], names=["a", "b", "near"])
+
+    return _by_task(one, ["block", "i", "j"])
+
+
 _LINKS = "id binary, root binary, links long"
 #: A task's rows: those of a block (or of a list), or of two parts of it.
 _TASK = ["listed", "unit", "i", "j"]
@@ -270,6 +358,12 @@ def _linked(percent: int):
         ids = t.column("id").combine_chunks()
         return pa.RecordBatch.from_arrays([ids.take(pa.array(use)), ids.take(pa.array(root[use])), pa.array(links[use].astype(np.int64))], names=["id", "root", "links"])
 
+    return _by_task(one, _TASK)
+
+
+def _by_task(one, names: list[str]):
+    """Calls one with the rows of each task, which come sorted by these columns."""
+
     def each(batches):
         held = None
         for b in batches:
@@ -277,7 +371,7 @@ def _linked(percent: int):
                 continue
             t = pa.Table.from_batches([b])
             held = t if held is None else pa.concat_tables([held, t])
-            key = np.stack([held.column(c).to_numpy() for c in _TASK])
+            key = np.stack([held.column(c).to_numpy() for c in names])
             edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
             if not len(edge):
                 continue
@@ -300,15 +394,41 @@ def _parts(part_rows: int, part_bytes: int):
     return F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)), F.ceil(F.sum("n") * 8 / F.lit(part_bytes))).cast("int").alias("parts")
 
 
+def _refined(member: DataFrame, sketched: DataFrame, percent: int, part_rows: int, part_bytes: int, sketch_rows: int) -> DataFrame:
+    """member, large blocks cut into those that their sketches connect; near: near sets of each (null in blocks that were small).
+
+    A set of a large block whose sketch is near no other one has no link and is left out.
+    """
+    split = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(sketch_rows)), F.ceil(F.sum("n") / F.lit(4 * SKETCH_BYTES))).cast("int").alias("split")
+    blocks = member.groupBy("block").agg(_parts(part_rows, part_bytes), split).where("parts > 1").select("block", "split")
+    blocks = stored(blocks, "jaccard-blocks")
+    large = stored(member.join(blocks, "block").join(sketched.dropDuplicates(["rid"]), "rid"), "jaccard-sketched")
+    rows = large.select("s1", "n", "sketch", "block", "split", F.pmod(F.xxhash64("id"), F.col("split")).cast("int").alias("part"))
+    rows = _in_pairs(rows, "split").select("s1", "n", "sketch", "part", "block", "i", "j")
+    rows = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "s1")
+    found = stored(rows.mapInArrow(_near(percent), "a long, b long, near long"), "jaccard-near")
+    cut = components(found).select(F.col("node").alias("s1"), F.col("root").alias("block"))
+    near = found.groupBy(F.col("a").alias("s1")).agg(F.sum("near").alias("near"))
+    small = member.join(blocks, "block", "left_anti").withColumn("near", F.lit(None).cast("long"))
+    return stored(small.unionByName(large.drop("block", "split", "sketch").join(cut, "s1").join(near, "s1")), "jaccard-refined")
+
+
+def _in_pairs(rows: DataFrame, parts: str) -> DataFrame:
+    """rows, each once for every part of its group, with the pair of parts i <= j that it is for."""
+    out = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(parts) - 1)))
+    return out.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+
+
 def _units(member: DataFrame, lists: DataFrame, part_rows: int, part_bytes: int) -> DataFrame:
     """(rid, s1, s2, id, mult, listed, unit, parts, lists): the blocks, or lists, that each class is held against others in.
 
     A block of n sets in p parts costs n * p transfers of sets, its lists cost the same sum over the lists. Only blocks of
-    several parts are looked at by their lists.
+    several parts, few of whose pairs are near, are looked at by their lists.
     """
-    blocks = member.groupBy("block").agg(_parts(part_rows, part_bytes), F.count(F.lit(1)).alias("members"))
+    blocks = member.groupBy("block").agg(_parts(part_rows, part_bytes), F.count(F.lit(1)).alias("members"), F.sum("near").alias("near"))
     own = ["rid", "s1", "s2", "id", "mult"]
-    large = stored(member.join(blocks.where("parts > 1"), "block"), "jaccard-large")
+    sparse = blocks.where((F.col("parts") > 1) & (F.col("near") < F.col("members") * F.col("members") * (DENSE / 2))).drop("near")
+    large = stored(member.drop("near").join(sparse, "block"), "jaccard-large")
     on = lists.join(large.select("s1", "n", "block", "id"), "s1")
     by_list = on.groupBy("block", "key").agg(_parts(part_rows, part_bytes).alias("list_parts"), F.count(F.lit(1)).alias("on_list")).where("on_list > 1")
     cost = by_list.groupBy("block").agg(F.sum(F.col("on_list") * F.col("list_parts")).alias("by_lists"))
@@ -317,19 +437,19 @@ def _units(member: DataFrame, lists: DataFrame, part_rows: int, part_bytes: int)
     listed = on.join(chosen, "block").join(by_list.select("block", "key", "list_parts"), ["block", "key"])
     keys = listed.groupBy("id").agg(F.collect_set("key").alias("lists"))
     listed = listed.select("id", F.col("key").alias("unit"), F.col("list_parts").alias("parts")).join(keys, "id").join(large.select(*own), "id")
-    whole = member.join(chosen, "block", "left_anti").join(blocks.drop("members"), "block")
+    whole = member.join(chosen, "block", "left_anti").join(blocks.select("block", "parts"), "block")
     whole = whole.select(*own, F.lit(False).alias("listed"), F.col("block").alias("unit"), "parts", F.array().cast("array<bigint>").alias("lists"))
     return whole.unionByName(listed.select(*own, F.lit(True).alias("listed"), "unit", "parts", "lists"))
 
 
-def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES, bound: int | None = None) -> DataFrame:
+def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES, bound: int | None = None, sketch_rows: int = SKETCH_ROWS) -> DataFrame:
     """(rid, doc_id, n_shingles, component_id, n_links, root) for every row of (doc_id, text); rid is a 128-bit hash of both.
 
     component_id is the least id in the component, which two components can share or lack; root is the 128-bit signature of a set in it and
     tells components apart (null without words).
     """
     texts = tb.small_batches(docs).select(tb.row_id("doc_id", "text").alias("rid"), "doc_id", "text")
-    rows = stored(texts.mapInArrow(_classes(k), "rid binary, doc_id long, n long, s1 long, s2 long"), "jaccard-classes")
+    rows = stored(texts.mapInArrow(_classes(k), "rid binary, doc_id long, n long, s1 long, s2 long, sketch binary"), "jaccard-classes")
     classes = rows.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "rid")).alias("rep"), F.count(F.lit(1)).alias("mult"), F.max("n").alias("n"))
     classes = classes.withColumn("id", F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("s1", "s2")])))
     if bound is None:
@@ -348,13 +468,13 @@ def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, par
     edges = lists.join(low, "key").where("s1 <> low").select(F.col("s1").alias("a"), F.col("low").alias("b")).distinct()
     blocks = components(edges).select(F.col("node").alias("s1"), F.col("root").alias("block"))
     member = stored(classes.join(blocks, "s1").select(F.col("rep.rid").alias("rid"), "s1", "s2", "id", "n", "mult", "block"), "jaccard-members")
+    member = _refined(member, rows.select("rid", "sketch"), percent, part_rows, part_bytes, sketch_rows)
     units = _units(member, lists, part_rows, part_bytes).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     # the texts are dealt by row at every size: what is wanted of them grows with them; rows that repeat are one before that
     sets = texts.select("rid", "text").dropDuplicates(["rid"]).join(units.hint("merge"), "rid")
     schema = "text binary, s1 long, s2 long, id binary, mult long, listed boolean, unit long, parts int, part int, lists array<bigint>"
     sets = sets.select(*[c.split()[0] for c in schema.split(", ")]).mapInArrow(_set_rows(k), schema).drop("s1", "s2")
-    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-    sets = sets.select("text", "id", "mult", "part", *_TASK, "lists").repartition(*_TASK).sortWithinPartitions(*_TASK, "id")
+    sets = _in_pairs(sets, "parts").select("text", "id", "mult", "part", *_TASK, "lists").repartition(*_TASK).sortWithinPartitions(*_TASK, "id")
     found = stored(sets.mapInArrow(_linked(percent), _LINKS), "jaccard-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
