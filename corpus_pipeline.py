@@ -86,12 +86,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. What a stage stores for itself is deleted once its result is written."""
+    """All stages over ``documents``. What a stage stores and shuffles for itself is deleted once its result is written."""
     visible(spark)
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         at = storage.place(spark, f"pipeline-{name}")
-        with storage.released(spark):
+        with storage.released(spark), storage.unshuffled(spark):
             stage(spark, docs, sf_dir).write.parquet(at)
         docs = spark.read.parquet(at)
     return STAGES[-1][1](spark, docs, sf_dir)
