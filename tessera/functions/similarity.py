@@ -99,24 +99,23 @@ def jaro_winkler(a: str, b: str) -> float:
 
 # --- the same measures for many pairs at once: bits of 64-bit words for the places of one string, one lane for each pair
 
-#: Cells (place of a, place of b) and lanes worked on at once; bounds memory and keeps a step's arrays in cache.
-CELLS, LANES = 1 << 21, 1 << 15
+#: Cells (place of a, place of b) worked on at once; bounds memory and keeps a step's arrays in cache.
+CELLS = 1 << 21
 
 
-def _matrix(strings: list[str], codes: dict[str, int], pad: int) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers of the characters, padded to one width; lengths)."""
+def _matrix(strings: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code points and one, padded to one width; lengths)."""
     size = np.array([len(x) for x in strings], dtype=np.int64)
-    kind = np.uint8 if len(codes) < 254 else np.uint32
-    out = np.full((len(strings), max(int(size.max(initial=1)), 1)), pad, dtype=kind)
-    out[np.arange(out.shape[1]) < size[:, None]] = np.array([codes[c] for x in strings for c in x], dtype=kind)
+    out = np.full((len(strings), max(int(size.max(initial=1)), 1)), pad, dtype=np.uint32)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype="<u4") + np.uint32(1)
     return out, size
 
 
 def _matches(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(where each character of b stands in a, as bits: pairs x places of b x words; lengths of a; lengths of b)."""
-    codes = {c: i + 1 for i, c in enumerate(dict.fromkeys("".join(a) + "".join(b)))}
-    x, n = _matrix(a, codes, 0)
-    y, m = _matrix(b, codes, 255)
+    (x, n), (y, m) = _matrix(a, 0), _matrix(b, 0xFFFFFFFF)
+    if x.max(initial=0) < 255:  # the padding of b, and what is no character of a, are one number that is none of a's
+        x, y = x.astype(np.uint8), np.minimum(y, 255).astype(np.uint8)
     words = -(-x.shape[1] // 64)
     equal = np.zeros((len(a), y.shape[1], 64 * words), dtype=bool)
     np.equal(y[:, :, None], x[:, None, :], out=equal[:, :, : x.shape[1]])
@@ -210,24 +209,31 @@ def token_set_many(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def _windows(short: list[str], long: list[str]) -> np.ndarray:
-    """Best ratio of each short string, all of one length, with the windows of its length in the long one."""
+    """Best ratio of each short string, all of one length, with the windows of its length in the long one.
+
+    A whole window takes a search of its own. Those that an end cuts short are the starts of the long string, or of both strings read
+    backwards, and one search passes through all of them.
+    """
     at, n, m = _matches(short, long)
-    size = int(n[0])
-    words = at.shape[2]
-    starts = np.arange(1 - size, at.shape[1])
-    padded = np.zeros((len(short), at.shape[1] + 2 * (size - 1), words), dtype=np.uint64)
-    padded[:, size - 1 : size - 1 + at.shape[1]] = at
+    size, words = int(n[0]), at.shape[2]
+    common = lambda v: 64 * words - sum(np.bitwise_count(w).astype(np.int64) for w in v)
+    starts = np.arange(at.shape[1] - size + 1)
     v = [np.full((len(short), len(starts)), ~np.uint64(0)) for _ in range(words)]
     for r in range(size):
-        v = _step(v, [padded[:, r : r + len(starts), w] for w in range(words)])
-    common = 64 * words - sum(np.bitwise_count(w).astype(np.int64) for w in v)
-    width = np.minimum(starts + size, m[:, None]) - np.maximum(starts, 0)
-    return np.where(width > 0, 2 * common / (np.maximum(width, 1) + size), 0.0).max(axis=1)
+        v = _step(v, [at[:, r : r + len(starts), w] for w in range(words)])
+    best = np.where(starts <= m[:, None] - size, 2 * common(v) / (2 * size), 0.0).max(axis=1)
+    for ends in (at, _matches([s[::-1] for s in short], [s[::-1] for s in long])[0]):
+        v = [np.full(len(short), ~np.uint64(0)) for _ in range(words)]
+        for r in range(size - 1):
+            v = _step(v, [ends[:, r, w] for w in range(words)])
+            best = np.maximum(best, 2 * common(v) / (r + 1 + size))
+    return best
 
 
 def partial_many(a: list[str], b: list[str]) -> np.ndarray:
     out, rest = _decided(a, b)
     by_size: dict[int, list[tuple[int, str, str]]] = {}
+    cells = lambda n, m: 64 * -(-n // 64) * m
     for i in rest:
         s, t = (a[i], b[i]) if len(a[i]) <= len(b[i]) else (b[i], a[i])
         if s in t:
@@ -241,7 +247,7 @@ def partial_many(a: list[str], b: list[str]) -> np.ndarray:
         start = 0
         while start < len(pairs):
             end = start + 1
-            while end < len(pairs) and (len(pairs[end][2]) + size) * (end + 1 - start) <= LANES and len(pairs[end][2]) <= len(pairs[start][2]) + 8:
+            while end < len(pairs) and cells(size, len(pairs[end][2])) * (end + 1 - start) <= CELLS and len(pairs[end][2]) <= len(pairs[start][2]) + 8:
                 end += 1
             part = pairs[start:end]
             np.maximum.at(out, [i for i, _, _ in part], _windows([s for _, s, _ in part], [t for _, _, t in part]))
@@ -262,8 +268,7 @@ def _jaro_winkler_chunk(a: list[str], b: list[str]) -> np.ndarray:
         used |= free & (~free + one)
         hit[:, i] = free != 0
     taken = np.unpackbits(used.astype("<u8").view(np.uint8).reshape(len(a), 8), axis=1, bitorder="little").astype(bool)
-    codes = {c: i + 1 for i, c in enumerate(dict.fromkeys("".join(a) + "".join(b)))}
-    x, y = _matrix(a, codes, 0)[0].astype(np.int64), _matrix(b, codes, 0)[0].astype(np.int64)
+    x, y = _matrix(a, 0)[0].astype(np.int64), _matrix(b, 0)[0].astype(np.int64)
     count = hit.sum(axis=1)
     order = lambda codes_, flags: np.take_along_axis(codes_, np.argsort(~flags, axis=1, kind="stable"), axis=1)
     width = int(count.max(initial=0))
